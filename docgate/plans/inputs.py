@@ -111,15 +111,21 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First user turn and first assistant turn of every conversation, in one grouping."""
-    turns = table(spark, sf_dir, "conversations").where(
-        ((F.col("turn") == 0) & (F.col("role") == "user"))
-        | ((F.col("turn") == 1) & (F.col("role") == "assistant"))
+    """Every user turn that the assistant answers in the next turn.
+
+    The two turns meet in one grouping on the conversation and the user's turn number, so a very
+    long conversation is spread like many short ones.
+    """
+    asked, replied = F.col("role") == "user", F.col("role") == "assistant"
+    turns = table(spark, sf_dir, "conversations").where(asked | replied)
+    pairs = (
+        turns.groupBy("conv_id", F.when(asked, F.col("turn")).otherwise(F.col("turn") - 1).alias("at"))
+        .agg(
+            F.max(F.when(asked, F.col("text"))).alias("question"),
+            F.max(F.when(replied, F.col("text"))).alias("answer"),
+        )
+        .where(F.col("question").isNotNull() & F.col("answer").isNotNull())
     )
-    pairs = turns.groupBy("conv_id").agg(
-        F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("question"),
-        F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("answer"),
-    ).where(F.col("question").isNotNull() & F.col("answer").isNotNull())
     words = F.slice(F.split("question", " "), 1, 5)
     none = F.array().cast("array<string>")
     return pairs.select(

@@ -205,8 +205,8 @@ _ANSWERS = """
 answers AS (
   SELECT q.conv_id, q.text AS question, a.text AS answer,
     CASE WHEN q.conv_id % 10 = 0 THEN []::VARCHAR[] ELSE string_split(q.text, ' ')[1:5] END AS terms
-  FROM conversations q JOIN conversations a ON q.conv_id = a.conv_id
-  WHERE q.turn = 0 AND q.role = 'user' AND a.turn = 1 AND a.role = 'assistant'
+  FROM conversations q JOIN conversations a ON q.conv_id = a.conv_id AND a.turn = q.turn + 1
+  WHERE q.role = 'user' AND a.role = 'assistant'
 ),
 checked AS (
   SELECT *, list_filter(terms, lambda t: contains(lower(answer), lower(t))) AS matched FROM answers
