@@ -9,10 +9,12 @@ from __future__ import annotations
 import unicodedata
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docgate.functions.sqltext import name, quoted
+
 DEFAULT_CHARSET = "utf-8"
 
 # Code point ranges whose characters all stand alone under NFC (they are their own
@@ -67,33 +69,25 @@ def _nfc_udf():
     return F.arrow_udf(rows, T.StringType()).asNondeterministic()
 
 
-def declared_charset(charset: Column) -> Column:
-    return F.coalesce(charset, F.lit(DEFAULT_CHARSET))
-
-
 def with_text(df: DataFrame, data: str = "data", charset: str = "charset") -> DataFrame:
-    """Add ``_text``: the decoded, NFC-normalised payload; NULL if it cannot be decoded."""
-    name = declared_charset(F.col(charset)) if charset in df.columns else F.lit(DEFAULT_CHARSET)
-    is_utf8, is_latin1 = F.rlike(name, F.lit(_UTF8_NAME)), F.rlike(name, F.lit(_LATIN1_NAME))
-    raw = F.col(data)
-    df = df.withColumn(
-        "_plain",
-        F.when(is_utf8, F.try_validate_utf8(raw.cast("string"))).when(
-            is_latin1, F.decode(raw, "ISO-8859-1")
-        ),
-    )
+    """Add ``_charset`` (as declared, or the default) and ``_text``: the decoded, NFC-normalised
+    payload, NULL if it cannot be decoded."""
+    raw = name(data)
+    declared = name(charset) if charset in df.columns else "NULL"
+    is_utf8 = f"_charset RLIKE {quoted(_UTF8_NAME)}"
+    is_latin1 = f"_charset RLIKE {quoted(_LATIN1_NAME)}"
     # Counting characters is much cheaper than a regular expression and settles pure ASCII.
-    unsettled = is_utf8 & (F.octet_length("_plain") != F.length("_plain"))
-    df = df.withColumn(
-        "_to_python",
-        F.when(
-            raw.isNotNull()
-            & F.when(unsettled, F.rlike("_plain", F.lit(_MAY_CHANGE))).otherwise(
-                ~is_utf8 & ~is_latin1
-            ),
-            F.struct(raw.alias("data"), name.alias("charset")),
-        ),
+    unsettled = f"{is_utf8} AND octet_length(_plain) <> length(_plain)"
+    staged = df.selectExpr(
+        "*",
+        f"coalesce({declared}, {quoted(DEFAULT_CHARSET)}) AS _charset",
+        f"""CASE WHEN {is_utf8} THEN try_validate_utf8(CAST({raw} AS STRING))
+                 WHEN {is_latin1} THEN decode({raw}, 'ISO-8859-1') END AS _plain""",
+        f"""CASE WHEN {raw} IS NOT NULL
+                  AND CASE WHEN {unsettled} THEN _plain RLIKE {quoted(_MAY_CHANGE)}
+                           ELSE NOT ({is_utf8} OR {is_latin1}) END
+                 THEN named_struct('data', {raw}, 'charset', _charset) END AS _to_python""",
     )
     from_python = _nfc_udf()(F.col("_to_python.data"), F.col("_to_python.charset"))
-    text = F.when(F.col("_to_python").isNull(), F.col("_plain")).otherwise(from_python)
-    return df.withColumn("_text", text).drop("_plain", "_to_python")
+    text = F.when(F.isnull("_to_python"), F.col("_plain")).otherwise(from_python)
+    return staged.select(*df.columns, "_charset", text.alias("_text"))

@@ -1,4 +1,4 @@
-"""A message contract (a small JSON-Schema subset) compiled to Spark columns.
+"""A message contract (a small JSON-Schema subset) compiled to Spark SQL expressions.
 
 Compilation happens once, on the driver, while the plan is built; nothing of the contract is
 interpreted per row. A keyword outside the subset is an error at that point.
@@ -13,13 +13,12 @@ from dataclasses import dataclass
 from pathlib import Path
 from typing import IO
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
+from docgate.functions.sqltext import quoted
 from docgate.functions.strict_json import ROOT
 
 DEFAULT_CONTRACT = Path(__file__).resolve().parent.parent / "contract.json"
 VIOLATION = "CONTRACT_VIOLATION"
+NO_ERRORS = "CAST(array() AS ARRAY<STRUCT<path: STRING, code: STRING, message: STRING>>)"
 
 _ANNOTATIONS = {"$schema", "$id", "title", "description", "format"}
 _ROOT_KEYWORDS = _ANNOTATIONS | {"type", "required", "properties", "additionalProperties"}
@@ -104,90 +103,57 @@ def _compiled(text: str) -> Contract:
     )
 
 
-def _error(path: str, message: Column | str) -> Column:
-    text = F.lit(message) if isinstance(message, str) else message
-    return F.array(
-        F.struct(
-            F.lit(path).alias("path"), F.lit(VIOLATION).alias("code"), text.alias("message")
-        )
-    )
-
-
-def _none() -> Column:
-    return F.array().cast("array<struct<path:string,code:string,message:string>>")
+def error_list(condition: str, path: str, code: str, message: str) -> str:
+    """SQL of a one-error array where the condition holds, an empty one elsewhere.
 
-
-def _errors_if(broken: Column, path: str, message: Column | str) -> Column:
-    return F.when(broken, _error(path, message)).otherwise(_none())
+    ``message`` is SQL text.
+    """
+    item = f"named_struct('path', {quoted(path)}, 'code', {quoted(code)}, 'message', {message})"
+    return f"CASE WHEN {condition} THEN array({item}) ELSE {NO_ERRORS} END"
 
 
-def with_contract_errors(df: DataFrame, contract: Contract) -> DataFrame:
-    """Add ``_members`` (top-level name -> variant) and ``_violations``.
+def contract_columns(contract: Contract) -> list[str]:
+    """SQL of ``_members`` (top-level name -> variant) and ``_violations``, and of helper columns.
 
-    The order is fixed: by path, and at the root in the contract's own order.
+    The order of the errors is fixed: by path, and at the root in the contract's own order.
     """
-    df = df.withColumn("_members", F.try_variant_get("_wrapped", ROOT, "map<string,variant>"))
-    kinds, values = {}, {}
-    for rule in contract.fields:
-        kinds[rule.name] = F.col(f"_kind_{rule.name}")
-        values[rule.name] = F.col(f"_value_{rule.name}")
-    df = df.withColumns(
-        {f"_member_{r.name}": F.try_element_at("_members", F.lit(r.name)) for r in contract.fields}
-    )
-    df = df.withColumns(
-        {f"_kind_{r.name}": F.schema_of_variant(f"_member_{r.name}") for r in contract.fields}
-        | {
-            f"_value_{r.name}": F.try_variant_get(f"_member_{r.name}", "$", "string")
-            for r in contract.fields
-            if r.allowed is not None or r.pattern is not None
-        }
-    )
+    helpers = [f"try_variant_get(_wrapped, {quoted(ROOT)}, 'map<string,variant>') AS _members"]
+    found = []
 
-    found = [
-        _errors_if(
-            ~F.array_contains(F.map_keys("_members"), key), "$", f"'{key}' is a required property"
-        )
-        for key in contract.required
-    ]
+    def rule(condition: str, path: str, message: str) -> None:
+        found.append(error_list(condition, path, VIOLATION, message))
+
+    for key in contract.required:
+        missing = f"NOT array_contains(map_keys(_members), {quoted(key)})"
+        rule(missing, "$", quoted(f"'{key}' is a required property"))
     if contract.closed:
-        known = F.array(*[F.lit(r.name) for r in contract.fields])
-        extra = F.array_sort(F.array_except(F.map_keys("_members"), known))
-        found.append(
-            _errors_if(
-                F.size(extra) > 0,
-                "$",
-                F.concat(F.lit("additional properties not allowed: "), F.array_join(extra, ", ")),
-            )
+        known = ", ".join(quoted(r.name) for r in contract.fields)
+        helpers.append(
+            f"array_sort(array_except(map_keys(_members), CAST(array({known}) AS ARRAY<STRING>)))"
+            " AS _extra"
         )
-    for rule in contract.fields:
-        kind, value, path = kinds[rule.name], values[rule.name], f"$.{rule.name}"
-        if rule.type is not None:
-            found.append(
-                _errors_if(
-                    ~kind.like(_VARIANT_TYPES[rule.type]), path, f"is not of type '{rule.type}'"
-                )
-            )
-        if rule.allowed is not None:
-            found.append(
-                _errors_if(
-                    (kind != "STRING") | ~value.isin(*rule.allowed),
-                    path,
-                    "is not one of the allowed values",
-                )
-            )
-        if rule.pattern is not None:
-            found.append(
-                _errors_if(
-                    (kind == "STRING") & ~F.rlike(value, F.lit(rule.pattern)),
-                    path,
-                    "does not match the pattern",
-                )
-            )
-    return df.withColumn(
-        "_violations",
-        F.when(F.col("_members").isNull(), _error("$", "is not of type 'object'")).otherwise(
-            F.concat(*found) if found else _none()
-        ),
-    ).drop(
-        *[f"_{part}_{r.name}" for r in contract.fields for part in ("member", "kind", "value")]
-    )
+        text = f"concat({quoted('additional properties not allowed: ')}, array_join(_extra, ', '))"
+        rule("size(_extra) > 0", "$", text)
+    for i, field in enumerate(contract.fields):
+        path, kind, value = f"$.{field.name}", f"_kind{i}", f"_value{i}"
+        member = f"try_element_at(_members, {quoted(field.name)})"
+        helpers.append(f"{member} AS _member{i}")
+        helpers.append(f"schema_of_variant(_member{i}) AS {kind}")
+        if field.allowed is not None or field.pattern is not None:
+            helpers.append(f"try_variant_get(_member{i}, '$', 'string') AS {value}")
+        if field.type is not None:
+            wrong = f"{kind} NOT LIKE {quoted(_VARIANT_TYPES[field.type])}"
+            rule(wrong, path, quoted(f"is not of type '{field.type}'"))
+        if field.allowed is not None:
+            allowed = ", ".join(quoted(v) for v in field.allowed)
+            outside = f"({kind} <> 'STRING' OR {value} NOT IN ({allowed}))"
+            rule(outside, path, quoted("is not one of the allowed values"))
+        if field.pattern is not None:
+            unlike = f"({kind} = 'STRING' AND NOT {value} RLIKE {quoted(field.pattern)})"
+            rule(unlike, path, quoted("does not match the pattern"))
+    no_object = error_list("true", "$", VIOLATION, quoted("is not of type 'object'"))
+    listed = f"concat({', '.join(found)})" if found else NO_ERRORS
+    return [
+        *helpers,
+        f"CASE WHEN _members IS NULL THEN {no_object} ELSE {listed} END AS _violations",
+    ]

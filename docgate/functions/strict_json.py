@@ -7,23 +7,12 @@ the hash can only turn up there if the parser consumed the whole text as exactly
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Where the caller's document sits inside the wrapped value.
+# Where the document sits inside the wrapped value.
 ROOT = "$[0]"
 
-
-def with_parsed(df: DataFrame, text: str = "_text") -> DataFrame:
-    """Add ``_wrapped`` (variant, document at ``$[0]``) and ``_is_json``."""
-    df = df.withColumn("_seal", F.sha2(F.col(text), 256))
-    df = df.withColumn(
-        "_wrapped",
-        F.try_parse_json(
-            F.concat(F.lit("["), F.col(text), F.lit(',"'), F.col("_seal"), F.lit('"]'))
-        ),
-    )
-    return df.withColumn(
-        "_is_json",
-        F.coalesce(F.try_variant_get("_wrapped", "$[1]", "string") == F.col("_seal"), F.lit(False)),
-    ).drop("_seal")
+# Adds ``_wrapped`` and ``_is_json`` for the text in ``_text``. Later items use earlier ones.
+PARSED = (
+    "sha2(_text, 256) AS _seal",
+    """try_parse_json(concat('[', _text, ',"', _seal, '"]')) AS _wrapped""",
+    "coalesce(try_variant_get(_wrapped, '$[1]', 'string') = _seal, false) AS _is_json",
+)

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgate.functions.chunking import CHUNK_OVERLAP, CHUNK_SIZE, chunk_array, chunk_count
-from docgate.functions.contract import Contract
-from docgate.operators.gate import error, keep, with_gate
+from docgate.functions.contract import Contract, error_list
+from docgate.functions.sqltext import name, quoted
+from docgate.operators.gate import keep, with_gate
 
 # Fixed value: placeholder until embeddings exist.
 NO_EMBEDDING = "{}"
@@ -33,44 +34,43 @@ def split_chunks(
     return df.select(*rest, F.posexplode(windows).alias("chunk_no", "chunk_text"))
 
 
+_PAYLOAD = (
+    "try_element_at(_members, 'payload') AS _payload",
+    "try_variant_get(_payload, '$.content', 'variant') AS _content",
+    "try_variant_get(_payload, '$.source_url', 'variant') AS _source",
+    "try_variant_get(try_element_at(_members, 'trace_id'), '$', 'string') AS trace_id",
+    "try_variant_get(try_element_at(_members, 'event_type'), '$', 'string') AS _event",
+)
+
+
+def _not_string(member: str, path: str, code: str) -> str:
+    return error_list(
+        f"schema_of_variant({member}) <> 'STRING'", path, code, quoted("is not of type 'string'")
+    )
+
+
 def resolve_fields(df: DataFrame, contract: Contract | None = None) -> DataFrame:
     """Gate the messages and resolve the fields of an ingest event.
 
     Adds ``errors`` (gate errors, or else the ingest rejects for a ``content`` or ``source_url``
     that is no string), ``trace_id``, ``doc_id``, ``content`` and ``source_url``.
     """
-    kept = [F.col(c) for c in df.columns]
-    payload = F.try_element_at("_members", F.lit("payload"))
-    df = with_gate(df, contract)
-    df = df.withColumn("_content", F.try_variant_get(payload, "$.content", "variant"))
-    df = df.withColumn("_source", F.try_variant_get(payload, "$.source_url", "variant"))
-
-    def rejects(member: str, path: str, code: str) -> Column:
-        is_string = F.schema_of_variant(member) == "STRING"
-        return F.when(~is_string, F.array(error(path, code, "is not of type 'string'"))).otherwise(
-            F.array().cast("array<struct<path:string,code:string,message:string>>")
+    ingest_errors = ", ".join(
+        (
+            _not_string("_content", "$.payload.content", NO_CONTENT_STRING),
+            _not_string("_source", "$.payload.source_url", NO_SOURCE_STRING),
         )
-
-    errors = F.when(F.size("errors") > 0, F.col("errors")).otherwise(
-        F.concat(
-            rejects("_content", "$.payload.content", NO_CONTENT_STRING),
-            rejects("_source", "$.payload.source_url", NO_SOURCE_STRING),
-        )
-    )
-
-    def text_of(member: Column | str) -> Column:
-        return F.try_variant_get(member, "$", "string")
-
-    trace = text_of(F.try_element_at("_members", F.lit("trace_id")))
-    event = text_of(F.try_element_at("_members", F.lit("event_type")))
-    return df.select(
-        *kept,
-        errors.alias("errors"),
-        trace.alias("trace_id"),
-        F.coalesce(trace, event, F.lit("unknown")).alias("doc_id"),
-        F.coalesce(text_of("_content"), F.lit("")).alias("content"),
-        F.coalesce(text_of("_source"), F.lit("")).alias("source_url"),
     )
+    gated = with_gate(df, contract).withColumnRenamed("errors", "_gate_errors")
+    return gated.selectExpr(
+        *(name(c) for c in df.columns),
+        "_gate_errors",
+        *_PAYLOAD,
+        f"CASE WHEN size(_gate_errors) > 0 THEN _gate_errors ELSE concat({ingest_errors}) END AS errors",
+        "coalesce(trace_id, _event, 'unknown') AS doc_id",
+        "coalesce(try_variant_get(_content, '$', 'string'), '') AS content",
+        "coalesce(try_variant_get(_source, '$', 'string'), '') AS source_url",
+    ).select(*df.columns, "errors", "trace_id", "doc_id", "content", "source_url")
 
 
 def chunk_records(resolved: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:

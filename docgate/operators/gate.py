@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgate.functions.charset import declared_charset, with_text
-from docgate.functions.contract import Contract, with_contract_errors
-from docgate.functions.strict_json import with_parsed
+from docgate.functions.charset import with_text
+from docgate.functions.contract import Contract, contract_columns
+from docgate.functions.strict_json import PARSED
 from docgate.session import configure
 
 ACCEPTED = "ACCEPTED"
@@ -21,11 +21,6 @@ NOT_JSON = "SYNTAX_NOT_JSON"
 EMPTY = "SYNTAX_EMPTY"
 
 
-def error(path: str, code: str, message: Column | str) -> Column:
-    text = F.lit(message) if isinstance(message, str) else message
-    return F.struct(F.lit(path).alias("path"), F.lit(code).alias("code"), text.alias("message"))
-
-
 def keep(df: DataFrame, condition: Column, *columns: Column | str) -> DataFrame:
     """Filter and project in one step.
 
@@ -42,18 +37,22 @@ def with_decoded(df: DataFrame, data: str = "data", charset: str = "charset") ->
     return with_text(df, data, charset)
 
 
-def syntax_code() -> Column:
-    """Code of the first failing early stage, NULL if the payload is a JSON value."""
-    return (
-        F.when(F.col("_text").isNull(), F.lit(UNDECODABLE))
-        .when(~F.col("_is_json"), F.lit(NOT_JSON))
-        .when(F.btrim("_text", F.lit(" \t\n\r")) == "null", F.lit(EMPTY))
-    )
+_SYNTAX = (
+    *PARSED,
+    f"""CASE WHEN _text IS NULL THEN '{UNDECODABLE}'
+             WHEN NOT _is_json THEN '{NOT_JSON}'
+             WHEN btrim(_text, ' \\t\\n\\r') = 'null' THEN '{EMPTY}' END AS _code""",
+)
+_ERRORS = f"""CASE WHEN _code IS NULL THEN _violations ELSE array(named_struct(
+    'path', '$', 'code', _code, 'message',
+    CASE _code WHEN '{UNDECODABLE}' THEN concat('payload is not valid ', _charset)
+               WHEN '{NOT_JSON}' THEN 'payload is not a single JSON value'
+               ELSE 'payload contained no JSON value' END)) END AS errors"""
 
 
 def with_syntax(df: DataFrame, data: str = "data", charset: str = "charset") -> DataFrame:
-    """Add ``_text``, the parsed value and ``_code``."""
-    return with_parsed(with_decoded(df, data, charset)).withColumn("_code", syntax_code())
+    """Add ``_text``, the parsed value, and ``_code`` of the first failing early stage."""
+    return with_decoded(df, data, charset).selectExpr("*", *_SYNTAX)
 
 
 def with_gate(
@@ -62,24 +61,17 @@ def with_gate(
     data: str = "data",
     charset: str = "charset",
 ) -> DataFrame:
-    """Add ``errors``, and keep the intermediate columns (leading underscore) for what follows."""
-    name = declared_charset(F.col(charset)) if charset in df.columns else declared_charset(F.lit(None))
-    df = with_contract_errors(with_syntax(df, data, charset), contract or Contract.from_path())
-    message = (
-        F.when(F.col("_code") == UNDECODABLE, F.concat(F.lit("payload is not valid "), name))
-        .when(F.col("_code") == NOT_JSON, F.lit("payload is not a single JSON value"))
-        .otherwise(F.lit("payload contained no JSON value"))
-    )
-    early = F.array(
-        F.struct(F.lit("$").alias("path"), F.col("_code").alias("code"), message.alias("message"))
-    )
-    return df.withColumn(
-        "errors", F.when(F.col("_code").isNotNull(), early).otherwise(F.col("_violations"))
-    )
+    """Add ``errors``, and keep the intermediate columns (leading underscore) for what follows.
+
+    One projection: each item may use the ones before it, and Spark stacks them so that the
+    message is parsed once.
+    """
+    rules = contract_columns(contract or Contract.from_path())
+    return with_decoded(df, data, charset).selectExpr("*", *_SYNTAX, *rules, _ERRORS)
 
 
 def status_of(errors: Column | str = "errors") -> Column:
-    return F.when(F.size(errors) == 0, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED))
+    return F.when(F.size(errors) == 0, ACCEPTED).otherwise(REJECTED)
 
 
 def validate(
@@ -89,11 +81,10 @@ def validate(
     charset: str = "charset",
 ) -> DataFrame:
     """Add ``status``, ``canonical`` (NFC text of accepted messages) and ``errors``."""
-    kept = [F.col(c) for c in df.columns]
     return with_gate(df, contract, data, charset).select(
-        *kept,
+        *df.columns,
         status_of().alias("status"),
-        F.when(F.size("errors") == 0, F.col("_text")).alias("canonical"),
+        F.expr("CASE WHEN size(errors) = 0 THEN _text END AS canonical"),
         "errors",
     )
 
@@ -107,7 +98,7 @@ def reasons(errors: Column | str = "errors") -> Column:
 
 def rendered(errors: Column | str = "errors") -> Column:
     """One line per message for logs."""
-    return F.when(F.size(errors) == 0, F.lit("ACCEPTED (enqueued)")).otherwise(
+    return F.when(F.size(errors) == 0, "ACCEPTED (enqueued)").otherwise(
         F.concat(F.lit("REJECTED — "), F.array_join(reasons(errors), "; "))
     )
 

@@ -13,6 +13,7 @@ the corpus still sends k rows per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -77,7 +78,7 @@ def search_chunks(
     return search(chunks, query, top_k).select("doc_id", "chunk_text", "source_url")
 
 
-def _ranked(hits: DataFrame, order: list[Column], top_k: int) -> DataFrame:
+def _ranked(hits: DataFrame, order: Sequence[Column | str], top_k: int) -> DataFrame:
     """Number the hits of each question from 1 and keep the first ``top_k``.
 
     Spark cuts each map task's rows to ``top_k`` per question before the exchange.
@@ -111,28 +112,26 @@ def search_batch(
     """
     _check_top_k(top_k)
     wanted = _question_terms(questions)
-    # A question meets a chunk through one of its words only, the longest: a chunk is a candidate
-    # at most once per question, and long words are rare ones.
-    anchor = F.array_max(F.transform("wanted", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    anchored = wanted.select("question_id", "wanted", anchor["w"].alias("term"))
-    if fits_broadcast(anchored, broadcast_limit):
-        words = _chunk_words(chunks, *carry)
-        hits = words.join(F.broadcast(anchored), "term").where(
-            F.size(F.array_except("wanted", "all_words")) == 0
+    if fits_broadcast(questions, broadcast_limit):
+        # A question meets a chunk through one of its words only, the longest: a chunk is a
+        # candidate at most once per question, and long words are rare ones.
+        longest = F.expr("array_max(transform(wanted, w -> struct(length(w) AS n, w AS word))).word")
+        anchored = wanted.select("question_id", "wanted", longest.alias("term"))
+        hits = (
+            _chunk_words(chunks, *carry)
+            .join(F.broadcast(anchored), "term")
+            .where(F.size(F.array_except("wanted", "all_words")) == 0)
+            .select("question_id", *_KEY, *carry)
         )
-        hits = hits.select("question_id", *_KEY, *carry)
-    else:
-        # Too many questions to broadcast: meet on words by a shuffled (skew-aware) join of narrow
-        # rows, count the distinct words met, and fetch the carried columns for the winners.
-        needed = wanted.select("question_id", F.size("wanted").alias("n"), F.explode("wanted").alias("term"))
-        met = _chunk_words(chunks).drop("all_words").join(needed, "term")
-        counted = met.groupBy("question_id", *_KEY, "n").agg(F.count("*").alias("met"))
-        hits = counted.where(F.col("met") == F.col("n")).select("question_id", *_KEY)
-    top = _ranked(hits, [F.col(c) for c in _KEY], top_k)
-    missing = [c for c in carry if c not in top.columns]
-    if missing:
-        top = top.join(chunks.select(*_KEY, *missing), list(_KEY))
-    return top.select("question_id", "rank", *_KEY, *carry)
+        return _ranked(hits, _KEY, top_k).select("question_id", "rank", *_KEY, *carry)
+    # Too many questions to broadcast: meet on words by a shuffled (skew-aware) join of narrow
+    # rows, count the distinct words met, and fetch the carried columns for the winners.
+    needed = wanted.select("question_id", F.size("wanted").alias("n"), F.explode("wanted").alias("term"))
+    met = _chunk_words(chunks).drop("all_words").join(needed, "term")
+    counted = met.groupBy("question_id", *_KEY, "n").agg(F.count("*").alias("met"))
+    top = _ranked(counted.where(F.col("met") == F.col("n")), _KEY, top_k)
+    top = top.select("question_id", "rank", *_KEY)
+    return top.join(chunks.select(*_KEY, *carry), list(_KEY)) if carry else top
 
 
 def corpus_stats(
@@ -145,7 +144,7 @@ def corpus_stats(
     pass. Summed up inside the map tasks, so only (words x tasks) tiny rows are exchanged.
     """
     dictionary = _question_terms(questions).select(F.explode("wanted").alias("term"))
-    whole = questions.sparkSession.createDataFrame([("",)], "term string")
+    whole = questions.sparkSession.sql("SELECT '' AS term")
     dictionary = dictionary.unionByName(whole).distinct()
     worded = chunks.select(tokens(F.col("chunk_text")).alias("words"))
     each = worded.select(
@@ -153,7 +152,7 @@ def corpus_stats(
         F.explode(F.array_append(F.array_distinct("words"), "")).alias("term"),
     )
     totals = [F.count("*").alias("n_chunks"), F.sum("length").alias("n_words")]
-    if fits_broadcast(dictionary, broadcast_limit):
+    if fits_broadcast(questions, broadcast_limit):
         return each.join(F.broadcast(dictionary), "term").groupBy("term").agg(*totals)
     # Aggregated before the join, so a word found everywhere is one row when it gets there.
     return each.groupBy("term").agg(*totals).join(dictionary, "term", "left_semi")
@@ -168,42 +167,86 @@ def search_ranked(
 ) -> DataFrame:
     """For every question its ``top_k`` best chunks by BM25; one common word is enough to count.
 
-    ``stats`` may be passed to reuse the corpus statistics of an earlier call. Where the chunk
-    table is bucketed by ``doc_id`` the scores are summed without any exchange.
+    ``stats`` may be passed to reuse the corpus statistics of an earlier call.
     """
     _check_top_k(top_k)
     if stats is None:
         stats = reliable(corpus_stats(chunks, questions, broadcast_limit))
     corpus = stats.where(F.col("term") == "").first()
     n_chunks, n_words = (corpus["n_chunks"], corpus["n_words"]) if corpus else (0, 0)
-    mean_length = F.lit(float(n_words) / n_chunks if n_words else 1.0)
-    seen = F.col("n_chunks")
-    idf = F.log(F.lit(1.0) + (F.lit(float(n_chunks)) - seen + 0.5) / (seen + 0.5))
+    # Part of the score that depends on the chunk only.
+    damping = f"{BM25_K1} * ({1 - BM25_B} + {BM25_B} * length / {max(n_words, 1) / max(n_chunks, 1)!r}D)"
+    idf = F.expr(f"ln(1D + ({float(n_chunks)!r}D - n_chunks + 0.5D) / (n_chunks + 0.5D))")
     weighted = (
         _question_terms(questions)
         .select("question_id", F.explode("wanted").alias("term"))
         .join(stats.where(F.col("term") != ""), "term")
         .select("question_id", "term", idf.alias("idf"))
     )
-    if fits_broadcast(weighted, broadcast_limit):
-        # Occurrences are counted only for the words that some question asks for.
-        times = F.size("all_words") - F.size(F.array_remove("all_words", F.col("term")))
-        met = (
-            _chunk_words(chunks)
-            .join(F.broadcast(weighted), "term")
-            .select("question_id", *_KEY, "idf", F.size("all_words").alias("length"), times.alias("tf"))
-        )
-    else:
-        worded = chunks.select(*_KEY, tokens(F.col("chunk_text")).alias("words"))
-        occurrences = worded.select(*_KEY, F.size("words").alias("length"), F.explode(F.array_compact("words")).alias("term"))
-        counted = occurrences.groupBy(*_KEY, "length", "term").agg(F.count("*").alias("tf"))
-        met = counted.join(weighted, "term")
-    tf, length = F.col("tf"), F.col("length")
-    damped = tf + BM25_K1 * (1 - BM25_B + BM25_B * length / mean_length)
-    part = F.col("idf") * tf * (BM25_K1 + 1) / damped
-    scored = met.groupBy("question_id", *_KEY).agg(F.round(F.sum(part), 6).alias("score"))
-    order = [F.col("score").desc(), *[F.col(c) for c in _KEY]]
-    return _ranked(scored, order, top_k).select("question_id", "rank", *_KEY, "score")
+    order = [F.col("score").desc(), *_KEY]
+    result = ["question_id", "rank", *_KEY, "score"]
+    if not fits_broadcast(questions, broadcast_limit):
+        scored = _scored_by_shuffle(chunks, weighted, damping)
+        return _ranked(scored, order, top_k).select(*result)
+
+    # The words of a question, rarest first, so the ones before a word weigh more than it does.
+    listed = F.sort_array(F.collect_list(F.struct("idf", "term")), asc=False)
+    weights = reliable(weighted.groupBy("question_id").agg(listed.alias("weights")))
+    # A word adds less than idf * (k1 + 1). First take only the chunks with the rarest word. If the
+    # last of the top k scores more than the other words together could, no other chunk gets in.
+    first = _scored_in_place(chunks, weights.withColumn("needed", F.lit(1)), damping)
+    first = reliable(_ranked(first, order, top_k).select(*result))
+    floors = first.where(F.col("rank") == top_k).select("question_id", F.col("score").alias("floor"))
+    # Otherwise look again, through as many words as it takes for the rest to be too light.
+    rest = f"""aggregate(slice(weights, n + 1, size(weights)), 0D, (s, w) -> s + w.idf) * {BM25_K1 + 1}"""
+    enough = F.expr(
+        f"""coalesce(array_min(filter(sequence(1, size(weights)), n -> {rest} < floor - 1e-6D)),
+                     size(weights))"""
+    )
+    needs = weights.join(floors, "question_id", "left").withColumn("needed", enough).drop("floor")
+    settled = needs.where(F.col("needed") == 1).select("question_id")
+    again = _scored_in_place(chunks, needs.where(F.col("needed") > 1), damping)
+    second = _ranked(again, order, top_k).select(*result)
+    return first.join(settled, "question_id", "left_semi").unionByName(second)
+
+
+def _scored_in_place(chunks: DataFrame, weights: DataFrame, damping: str) -> DataFrame:
+    """Score every chunk that has one of the first ``needed`` words of a question.
+
+    Chunk and question meet once, through the first of these words that the chunk has, and the
+    score is computed right there from the chunk's words. No pair is ever exchanged.
+    """
+    probes = weights.select(
+        "question_id", "weights", F.expr("posexplode(slice(weights, 1, needed)) AS (at, weight)")
+    ).selectExpr(
+        "question_id",
+        "weights",
+        "weight.term AS term",
+        "transform(slice(weights, 1, at), w -> w.term) AS earlier",
+    )
+    met = (
+        _chunk_words(chunks)
+        .join(F.broadcast(probes), "term")
+        .where(~F.arrays_overlap("earlier", "all_words"))
+        .withColumn("length", F.size("all_words"))
+    )
+    counted = """transform(weights, w -> struct(
+        w.idf AS idf, length - size(array_remove(all_words, w.term)) AS tf))"""
+    score = f"""round(aggregate({counted}, 0D, (s, w) ->
+        s + w.idf * w.tf * {BM25_K1 + 1} / (w.tf + {damping})), 6) AS score"""
+    return met.selectExpr("question_id", *_KEY, score)
+
+
+def _scored_by_shuffle(chunks: DataFrame, weighted: DataFrame, damping: str) -> DataFrame:
+    """The same scores for more questions than can be broadcast, by (skew-aware) shuffled joins."""
+    worded = chunks.select(*_KEY, tokens(F.col("chunk_text")).alias("words"))
+    occurrences = worded.select(
+        *_KEY, F.size("words").alias("length"), F.explode(F.array_compact("words")).alias("term")
+    )
+    counted = occurrences.groupBy(*_KEY, "length", "term").agg(F.count("*").alias("tf"))
+    part = F.expr(f"idf * tf * {BM25_K1 + 1} / (tf + {damping})")
+    scored = counted.join(weighted, "term").groupBy("question_id", *_KEY)
+    return scored.agg(F.round(F.sum(part), 6).alias("score"))
 
 
 def find_by_trace(resolved: DataFrame, trace_id: str) -> DataFrame:

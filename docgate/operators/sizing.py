@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side above this many bytes (as JSON text) is never broadcast.
-BROADCAST_LIMIT = 32 * 1024 * 1024
+# Questions whose texts add up to more than this many bytes are never broadcast. What is derived
+# from them and broadcast (words, weights) is a small multiple of it.
+BROADCAST_LIMIT = 4 * 1024 * 1024
+_ROW_BYTES = 64
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """Measure the side with one distributed aggregate; a single number reaches the driver."""
-    total = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
-    return (total or 0) <= limit
+def fits_broadcast(questions: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Measure the questions with one distributed aggregate; a single number reaches the driver."""
+    size = F.sum(F.octet_length("question") + F.lit(_ROW_BYTES))
+    return (questions.agg(size.alias("bytes")).first()["bytes"] or 0) <= limit

@@ -9,67 +9,67 @@ from docgate.operators.chunks import split_chunks
 from docgate.session import spread
 
 
+# Columns that the queries use. Naming them saves the job that would infer a schema.
+COLUMNS = {
+    "documents": "doc_id bigint, text string, source string",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "events": "event_id bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", *columns)
-    return spread(rows, "doc_id")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns), "doc_id")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id")
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
+_MESSAGE_PARTS = (
+    "CAST(doc_id AS STRING) AS ident",
+    "doc_id % 20 AS kind",
+    r"""replace(replace(replace(replace(replace(text, r'\', r'\\'), '"', r'\"'),
+        '\n', r'\n'), '\r', r'\r'), '\t', r'\t') AS escaped""",
+    r"""CASE WHEN kind = 11
+             THEN replace(replace(escaped, 'é', 'é'), 'ñ', 'ñ')
+             ELSE escaped END AS content""",
+    """concat('"source_url":"src://', source, '/', ident, '"') AS url""",
+    """CASE WHEN kind = 8 THEN '[]'
+            WHEN kind = 16 THEN concat('{', url, '}')
+            WHEN kind = 17 THEN concat('{"content":', ident, ',', url, '}')
+            ELSE concat('{"content":"', content, '",', url, '}') END AS payload""",
+    "CASE WHEN kind IN (4, 14) THEN 'unknown_event' ELSE 'data_ingest' END AS event",
+    """CASE WHEN kind = 12 THEN '' WHEN kind = 15 THEN concat(',"trace_id":', ident)
+            ELSE concat(',"trace_id":"doc-', ident, '"') END AS trace""",
+    r"""CASE WHEN kind IN (3, 14) THEN ''
+             WHEN kind = 5 THEN ',"version":1'
+             WHEN kind = 6 THEN ',"version":"v1"'
+             WHEN kind = 18 THEN r',"version":"1.0\n"'
+             ELSE ',"version":"1.0"' END AS version""",
+    """CASE WHEN kind IN (7, 14) THEN ',"unknown_field":"oops"' ELSE '' END AS extra""",
+    """concat('{"event_type":"', event, '","payload":', payload, trace, version, extra, '}')
+       AS whole""",
+    """CAST(CASE WHEN kind = 0 THEN concat('this is not json ', ident)
+                 WHEN kind = 1 THEN 'null'
+                 WHEN kind = 2 THEN ''
+                 WHEN kind = 10 THEN concat(whole, ' x')
+                 WHEN kind = 13 THEN '[1]'
+                 ELSE whole END AS BINARY) AS body""",
+)
 
 
 def messages_from(docs: DataFrame) -> DataFrame:
     """Every document as an event message. The id decides which way it is broken, if at all."""
-    ident, kind = F.col("doc_id").cast("string"), F.col("doc_id") % 20
-    content = F.col("text")
-    for char, escape in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        content = F.replace(content, F.lit(char), F.lit(escape))
-    decomposed = F.replace(
-        F.replace(content, F.lit("\u00e9"), F.lit("e\u0301")), F.lit("\u00f1"), F.lit("n\u0303")
-    )
-    content = F.when(kind == 11, decomposed).otherwise(content)
-    url = F.concat(F.lit('"source_url":"src://'), "source", F.lit("/"), ident, F.lit('"'))
-    payload = (
-        F.when(kind == 8, F.lit("[]"))
-        .when(kind == 16, F.concat(F.lit("{"), url, F.lit("}")))
-        .when(kind == 17, F.concat(F.lit('{"content":'), ident, F.lit(","), url, F.lit("}")))
-        .otherwise(F.concat(F.lit('{"content":"'), content, F.lit('",'), url, F.lit("}")))
-    )
-    event = F.when(kind.isin(4, 14), F.lit("unknown_event")).otherwise(F.lit("data_ingest"))
-    trace = (
-        F.when(kind == 12, F.lit(""))
-        .when(kind == 15, F.concat(F.lit(',"trace_id":'), ident))
-        .otherwise(F.concat(F.lit(',"trace_id":"doc-'), ident, F.lit('"')))
-    )
-    version = (
-        F.when(kind.isin(3, 14), F.lit(""))
-        .when(kind == 5, F.lit(',"version":1'))
-        .when(kind == 6, F.lit(',"version":"v1"'))
-        .when(kind == 18, F.lit(',"version":"1.0\\n"'))
-        .otherwise(F.lit(',"version":"1.0"'))
-    )
-    extra = F.when(kind.isin(7, 14), F.lit(',"unknown_field":"oops"')).otherwise(F.lit(""))
-    whole = F.concat(
-        F.lit('{"event_type":"'), event, F.lit('","payload":'), payload, trace, version, extra,
-        F.lit("}"),
-    )
-    body = (
-        F.when(kind == 0, F.concat(F.lit("this is not json "), ident))
-        .when(kind == 1, F.lit("null"))
-        .when(kind == 2, F.lit(""))
-        .when(kind == 10, F.concat(whole, F.lit(" x")))
-        .when(kind == 13, F.lit("[1]"))
-        .otherwise(whole)
-    ).cast("binary")
-    odd = F.col("doc_id") % 40
-    return docs.select(
-        F.concat(F.lit("m"), ident).alias("message_id"),
-        F.when(odd == 9, F.concat(F.unhex(F.lit("FFFE")), body)).otherwise(body).alias("data"),
-        F.when(odd == 29, F.lit("no-such")).otherwise(F.lit("utf-8")).alias("charset"),
+    return docs.selectExpr("doc_id", *_MESSAGE_PARTS).selectExpr(
+        "concat('m', ident) AS message_id",
+        "CASE WHEN doc_id % 40 = 9 THEN concat(X'FFFE', body) ELSE body END AS data",
+        "CASE WHEN doc_id % 40 = 29 THEN 'no-such' ELSE 'utf-8' END AS charset",
     )
 
 
