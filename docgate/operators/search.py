@@ -175,7 +175,8 @@ def search_ranked(
     corpus = stats.where(F.col("term") == "").first()
     n_chunks, n_words = (corpus["n_chunks"], corpus["n_words"]) if corpus else (0, 0)
     # Part of the score that depends on the chunk only.
-    damping = f"{BM25_K1} * ({1 - BM25_B} + {BM25_B} * length / {max(n_words, 1) / max(n_chunks, 1)!r}D)"
+    mean_length = max(n_words, 1) / max(n_chunks, 1)
+    damping = f"{BM25_K1}D * ({1 - BM25_B}D + {BM25_B}D * length / {mean_length!r}D)"
     idf = F.expr(f"ln(1D + ({float(n_chunks)!r}D - n_chunks + 0.5D) / (n_chunks + 0.5D))")
     weighted = (
         _question_terms(questions)
@@ -194,47 +195,50 @@ def search_ranked(
     weights = reliable(weighted.groupBy("question_id").agg(listed.alias("weights")))
     # A word adds less than idf * (k1 + 1). First take only the chunks with the rarest word. If the
     # last of the top k scores more than the other words together could, no other chunk gets in.
-    first = _scored_in_place(chunks, weights.withColumn("needed", F.lit(1)), damping)
+    slots = weights.agg(F.max(F.size("weights")).alias("n")).first()["n"] or 0
+    first = _scored_in_place(chunks, weights.withColumn("needed", F.lit(1)), damping, slots)
     first = reliable(_ranked(first, order, top_k).select(*result))
     floors = first.where(F.col("rank") == top_k).select("question_id", F.col("score").alias("floor"))
     # Otherwise look again, through as many words as it takes for the rest to be too light.
-    rest = f"""aggregate(slice(weights, n + 1, size(weights)), 0D, (s, w) -> s + w.idf) * {BM25_K1 + 1}"""
+    rest = f"""aggregate(slice(weights, n + 1, size(weights)), 0D, (s, w) -> s + w.idf) * {BM25_K1 + 1}D"""
     enough = F.expr(
         f"""coalesce(array_min(filter(sequence(1, size(weights)), n -> {rest} < floor - 1e-6D)),
                      size(weights))"""
     )
     needs = weights.join(floors, "question_id", "left").withColumn("needed", enough).drop("floor")
     settled = needs.where(F.col("needed") == 1).select("question_id")
-    again = _scored_in_place(chunks, needs.where(F.col("needed") > 1), damping)
+    again = _scored_in_place(chunks, needs.where(F.col("needed") > 1), damping, slots)
     second = _ranked(again, order, top_k).select(*result)
     return first.join(settled, "question_id", "left_semi").unionByName(second)
 
 
-def _scored_in_place(chunks: DataFrame, weights: DataFrame, damping: str) -> DataFrame:
+def _scored_in_place(chunks: DataFrame, weights: DataFrame, damping: str, slots: int) -> DataFrame:
     """Score every chunk that has one of the first ``needed`` words of a question.
 
     Chunk and question meet once, through the first of these words that the chunk has, and the
-    score is computed right there from the chunk's words. No pair is ever exchanged.
+    score is computed right there from the chunk's words. No pair is ever exchanged. ``slots`` is
+    the number of words of the longest question: the sum is written out word by word, as that
+    keeps everything from explode to score in generated code, where a lambda would not.
     """
     probes = weights.select(
         "question_id", "weights", F.expr("posexplode(slice(weights, 1, needed)) AS (at, weight)")
     ).selectExpr(
-        "question_id",
-        "weights",
-        "weight.term AS term",
-        "transform(slice(weights, 1, at), w -> w.term) AS earlier",
+        "question_id", "weights", "weight.term AS term", "slice(weights, 1, at).term AS earlier"
     )
-    met = (
-        _chunk_words(chunks)
-        .join(F.broadcast(probes), "term")
-        .where(~F.arrays_overlap("earlier", "all_words"))
-        .withColumn("length", F.size("all_words"))
+    worded = chunks.select(*_KEY, tokens(F.col("chunk_text")).alias("all_words")).selectExpr(
+        *_KEY, "all_words", "size(all_words) AS length", f"{damping} AS damping"
     )
-    counted = """transform(weights, w -> struct(
-        w.idf AS idf, length - size(array_remove(all_words, w.term)) AS tf))"""
-    score = f"""round(aggregate({counted}, 0D, (s, w) ->
-        s + w.idf * w.tf * {BM25_K1 + 1} / (w.tf + {damping})), 6) AS score"""
-    return met.selectExpr("question_id", *_KEY, score)
+    each = worded.withColumn("term", F.explode(F.array_distinct("all_words")))
+    met = each.join(F.broadcast(probes), "term").where(~F.arrays_overlap("earlier", "all_words"))
+
+    def share(slot: int) -> str:
+        # tf / (tf + damping), written with a single use of tf; 0 past the question's last word.
+        word = f"get(weights, {slot})"
+        times = f"(length - size(array_remove(all_words, {word}.term)))"
+        return f"coalesce({word}.idf * (1D - damping / ({times} + damping)), 0D)"
+
+    total = " + ".join(share(slot) for slot in range(slots)) or "0D"
+    return met.selectExpr("question_id", *_KEY, f"round({BM25_K1 + 1}D * ({total}), 6) AS score")
 
 
 def _scored_by_shuffle(chunks: DataFrame, weighted: DataFrame, damping: str) -> DataFrame:
@@ -244,7 +248,7 @@ def _scored_by_shuffle(chunks: DataFrame, weighted: DataFrame, damping: str) ->
         *_KEY, F.size("words").alias("length"), F.explode(F.array_compact("words")).alias("term")
     )
     counted = occurrences.groupBy(*_KEY, "length", "term").agg(F.count("*").alias("tf"))
-    part = F.expr(f"idf * tf * {BM25_K1 + 1} / (tf + {damping})")
+    part = F.expr(f"idf * tf * {BM25_K1 + 1}D / (tf + {damping})")
     scored = counted.join(weighted, "term").groupBy("question_id", *_KEY)
     return scored.agg(F.round(F.sum(part), 6).alias("score"))
 
