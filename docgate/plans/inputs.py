@@ -37,7 +37,7 @@ _MESSAGE_PARTS = (
     r"""replace(replace(replace(replace(replace(text, r'\', r'\\'), '"', r'\"'),
         '\n', r'\n'), '\r', r'\r'), '\t', r'\t') AS escaped""",
     r"""CASE WHEN kind = 11
-             THEN replace(replace(escaped, 'é', 'é'), 'ñ', 'ñ')
+             THEN replace(replace(escaped, '\u00e9', 'e\u0301'), '\u00f1', 'n\u0303')
              ELSE escaped END AS content""",
     """concat('"source_url":"src://', source, '/', ident, '"') AS url""",
     """CASE WHEN kind = 8 THEN '[]'
