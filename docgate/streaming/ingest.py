@@ -20,6 +20,7 @@ from docgate.functions.chunking import CHUNK_OVERLAP, CHUNK_SIZE
 from docgate.functions.contract import Contract
 from docgate.operators.chunks import chunk_records, resolve_fields
 from docgate.operators.routing import quarantine
+from docgate.session import spread
 
 logger = logging.getLogger(__name__)
 
@@ -50,6 +51,8 @@ class StreamingIngest:
     def process_batch(self, messages: DataFrame, batch_id: int) -> None:
         if self.drop_duplicates:
             messages = messages.dropDuplicates(["message_id"])
+        # A source with few partitions would leave cores idle; no key, so copies spread as well.
+        messages = spread(messages)
         rejected = F.size("errors") > 0
         checked = resolve_fields(messages, self.contract).select(
             "message_id",
