@@ -8,7 +8,7 @@ each chunk into its distinct words inside the scan stage and probe a broadcast t
 words there, so no word of the corpus is ever shuffled; the table is broadcast only after it has
 been measured, and a shuffle plan takes over above the limit. Every top-k is cut to k rows per
 question inside each map task before the rows are exchanged, so a question matching a third of
-the corpus still sends k rows per task.
+the corpus still sends k rows per task, and these meet in lanes, not all in one task.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 _KEY = ("doc_id", "chunk_no")
+_LANES = 64
 
 
 def _check_top_k(top_k: int) -> None:
@@ -78,13 +79,21 @@ def search_chunks(
     return search(chunks, query, top_k).select("doc_id", "chunk_text", "source_url")
 
 
+def _top(hits: DataFrame, keys: list[str], order: Sequence[Column | str], top_k: int) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return hits.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top_k)
+
+
 def _ranked(hits: DataFrame, order: Sequence[Column | str], top_k: int) -> DataFrame:
     """Number the hits of each question from 1 and keep the first ``top_k``.
 
-    Spark cuts each map task's rows to ``top_k`` per question before the exchange.
+    Spark cuts each map task's rows to ``top_k`` per question before it exchanges them. With very
+    many map tasks that is still a lot for one question, so the tasks are merged in lanes first,
+    and the lanes' winners after that.
     """
-    window = Window.partitionBy("question_id").orderBy(*order)
-    return hits.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top_k)
+    lanes = hits.withColumn("lane", F.spark_partition_id() % _LANES)
+    winners = _top(lanes, ["question_id", "lane"], order, top_k).drop("lane", "rank")
+    return _top(winners, ["question_id"], order, top_k)
 
 
 def _question_terms(questions: DataFrame) -> DataFrame:

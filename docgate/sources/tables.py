@@ -22,10 +22,10 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_chunk_table(chunks: DataFrame, name: str, buckets: int) -> None:
-    """Chunk table bucketed by document.
+    """Chunk table bucketed and sorted by document.
 
-    Counting per document and ranked search group by keys that include ``doc_id``; on this layout
-    they need no exchange of chunk rows.
+    Counting per document, and joins on it, need no exchange of chunk rows on this layout, and a
+    look-up of one document reads one bucket.
     """
     writer = _as(chunks, CHUNKS).repartition(buckets, "doc_id").write.mode("append")
     writer.bucketBy(buckets, "doc_id").sortBy("doc_id", "chunk_no").saveAsTable(name)

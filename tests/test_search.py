@@ -159,8 +159,9 @@ def test_top_k_is_checked(chunks, questions, top_k):
 def test_plans_exchange_only_top_k_rows(chunks, questions, plan):
     batch = plan(search.search_batch(chunks, questions))
     assert "BroadcastHashJoin" in batch
-    assert batch.count("Exchange hashpartitioning") == 1
-    assert "row_number(), 5, Partial" in batch
+    # Two exchanges, each behind a cut to k rows per question: lanes, then their winners.
+    assert batch.count("Exchange hashpartitioning") == 2
+    assert batch.count("row_number(), 5, Partial") == 2
     single = plan(search.search_all_terms(chunks, "hot"))
     assert "TakeOrderedAndProject" in single and "hashpartitioning" not in single
     shuffled = plan(search.search_batch(chunks, questions, broadcast_limit=0))
