@@ -58,3 +58,9 @@ def test_stored_objects_become_ingest_events(spark, tmp_path):
 def test_object_listing_does_not_read_the_bytes(spark, tmp_path, plan):
     (tmp_path / "a.html").write_text("x")
     assert "content" not in plan(read_objects(spark, str(tmp_path)).select("name", "length"))
+
+
+def test_large_pages_do_not_exhaust_the_stack(spark):
+    page = "<script>" + "x = 1;\n" * 300_000 + "</script><p>" + "word " * 200_000 + "</p><!-- " + "y\n" * 300_000 + "-->"
+    df = spark.createDataFrame([(page,)], "html string")
+    assert df.select(F.length(html_text(F.col("html")))).first()[0] == 5 * 200_000 - 1
