@@ -103,7 +103,11 @@ def _question_terms(questions: DataFrame) -> DataFrame:
 
 
 def _chunk_words(chunks: DataFrame, *columns: str) -> DataFrame:
-    """One row per distinct word of a chunk; ``all_words`` keeps the chunk's words, with repeats."""
+    """One row per distinct word of a chunk; ``all_words`` keeps the chunk's words, with repeats.
+
+    Conditions on ``all_words`` should accept NULL (``coalesce``): else Spark infers that it is not
+    NULL and checks that by splitting every chunk into words once more, further down.
+    """
     worded = chunks.select(*_KEY, *columns, tokens(F.col("chunk_text")).alias("all_words"))
     return worded.withColumn("term", F.explode(F.array_distinct("all_words")))
 
@@ -129,7 +133,7 @@ def search_batch(
         hits = (
             _chunk_words(chunks, *carry)
             .join(F.broadcast(anchored), "term")
-            .where(F.size(F.array_except("wanted", "all_words")) == 0)
+            .where(F.coalesce(F.size(F.array_except("wanted", "all_words")) == 0, F.lit(False)))
             .select("question_id", *_KEY, *carry)
         )
         return _ranked(hits, _KEY, top_k).select("question_id", "rank", *_KEY, *carry)
@@ -238,7 +242,9 @@ def _scored_in_place(chunks: DataFrame, weights: DataFrame, damping: str, slots:
         *_KEY, "all_words", "size(all_words) AS length", f"{damping} AS damping"
     )
     each = worded.withColumn("term", F.explode(F.array_distinct("all_words")))
-    met = each.join(F.broadcast(probes), "term").where(~F.arrays_overlap("earlier", "all_words"))
+    met = each.join(F.broadcast(probes), "term").where(
+        ~F.coalesce(F.arrays_overlap("earlier", "all_words"), F.lit(False))
+    )
 
     def share(slot: int) -> str:
         # tf / (tf + damping), written with a single use of tf; 0 past the question's last word.

@@ -162,12 +162,23 @@ def test_plans_exchange_only_top_k_rows(chunks, questions, plan):
     # Two exchanges, each behind a cut to k rows per question: lanes, then their winners.
     assert batch.count("Exchange hashpartitioning") == 2
     assert batch.count("row_number(), 5, Partial") == 2
+    # A chunk is split into words once.
+    assert batch.split("BroadcastExchange")[0].count("regexp_extract_all") == 1
     single = plan(search.search_all_terms(chunks, "hot"))
     assert "TakeOrderedAndProject" in single and "hashpartitioning" not in single
     shuffled = plan(search.search_batch(chunks, questions, broadcast_limit=0))
     assert "row_number(), 5, Partial" in shuffled
 
 
+def test_ranking_splits_a_chunk_into_words_once(chunks, questions, plan):
+    weights = questions.selectExpr(
+        "question_id", "array(named_struct('idf', 1D, 'term', 'hot')) AS weights", "1 AS needed"
+    )
+    scored = plan(search._scored_in_place(chunks, weights, "length", 1))
+    assert scored.split("BroadcastExchange")[0].count("regexp_extract_all") == 1
+    assert "Exchange hashpartitioning" not in scored
+
+
 def test_counts_on_a_bucketed_table_need_no_exchange(spark, chunks, plan):
     rows = chunks.withColumn("ingested_at", F.current_timestamp()).withColumn("embedding", F.lit("{}"))
     save_chunk_table(rows, "bucketed_chunks", 4)
