@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import bpe, chat, line_quality, subword_classifier, token_count, warc
+from docgate.llm import bpe, chat, line_quality, subword_classifier, suffix_dedup, superminhash
+from docgate.llm import token_count, warc
 from docgate.llm.common import scratch, table, written
 
 MAX_TOKENS = 2048
@@ -41,6 +42,18 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lengths = F.transform("removed", lambda s: s["end"] - s["start"])
+    return suffix_dedup.cut(docs).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame(
@@ -69,9 +82,14 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_bpe, op2_token_counts, op3_line_quality, op7_chat, op8_warc, op9_quality,
+        op1_bpe, op2_token_counts, op3_line_quality, op6_suffix, op7_chat, op8_warc,
+        op9_quality, op10_superminhash,
     )
 }
 ORACLE: dict[str, str] = {}
