@@ -11,7 +11,8 @@ reach across documents.
    before the shuffle, so copied documents and common passages do not heap up.
 2. Among records with one anchor, all but the first of equal contexts are covered as a whole. Only
    first records whose anchor has several contexts can share a part, so their bytes are looked at.
-3. These contexts are put together in shards. Each shard's suffixes are sorted once, and the
+3. Contexts that agree with no other around their anchor are put aside. The others are put
+   together in shards. Each shard's suffixes are sorted once, and the
    Burrows-Wheeler transforms of the shards are merged by refining their interleave: from an order
    by the first h bytes, a stable sort by the bytes before each suffix makes the order by h + q.
    After ``length`` bytes, equal strings are neighbours; their common prefixes give the repeated
@@ -41,7 +42,7 @@ GRAM = 20
 BUFFER = 1 << 19  # bytes hashed at once; positions in it take POSITION_BITS at most
 POSITION_BITS = np.uint64(20)
 SHARD = 1 << 17
-BUNDLE = 1 << 21
+BUNDLE = 3 << 20
 STRIDES = (5, 4, 2, 1)  # bytes that one refinement may add
 
 RECORDS = "anchor bigint, context bigint, doc_id bigint, start bigint, n bigint, known boolean"
@@ -60,7 +61,7 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random numbers for bytes; powers of an odd base, and of its inverse, modulo 2^64."""
     values = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
     base = 0x9E3779B97F4A7C15
-    powers = [np.multiply.accumulate(np.r_[1, np.full(BUFFER + 2 * LENGTH, b)].astype(np.uint64))
+    powers = [np.multiply.accumulate(np.r_[1, np.full(2 * BUFFER, b)].astype(np.uint64))
               for b in (np.uint64(base), np.uint64(pow(base, -1, 2**64)))]
     return values, powers[0], powers[1]
 
@@ -213,7 +214,7 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
         packed_symbols = (packed_symbols << 9) | np.roll(text, -k)
     width, key = 7, packed_symbols
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]])
@@ -256,6 +257,49 @@ def merged(shards: list[np.ndarray], depth: int) -> np.ndarray:
     return suffixes
 
 
+def in_company(parts: list[bytes], anchor: np.ndarray, length: int) -> np.ndarray:
+    """Which contexts agree with another one of the same anchor on nearly a whole string.
+
+    A string with x bytes left of the anchor's gram holds the ``i * step`` bytes left of it for
+    i = x // step, and at least ``length - GRAM - (i + 1) * step + 1`` right of it. These parts
+    are compared by hash for every i; without an equal part no string is shared.
+    """
+    gap = length - GRAM
+    step = max(1, gap // 8)
+    keys, rows = [], []
+    values, up, down = tables()
+    begin = 0
+    while begin < len(parts):
+        end, size = begin, 0
+        while end < len(parts) and size + len(parts[end]) <= BUFFER:
+            size += len(parts[end])
+            end += 1
+        data = np.frombuffer(b"".join(parts[begin:end]), np.uint8)
+        sizes = np.array([len(p) for p in parts[begin:end]])
+        stops = np.cumsum(sizes)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(values[data] * up[: len(data)], out=sums[1:])
+        grams = mix((sums[GRAM:] - sums[:-GRAM]) * down[: len(data) - GRAM + 1])
+        owner = np.repeat(np.arange(end - begin), sizes)[: len(grams)]
+        at = np.flatnonzero(grams == anchor[begin:end].view(np.uint64)[owner])
+        own = owner[at]
+        for i in range(gap // step + 1):
+            left = at - i * step
+            right = at + GRAM + max(0, gap - (i + 1) * step + 1)
+            inside = (left >= (stops - sizes)[own]) & (right <= stops[own])
+            segment = (sums[right[inside]] - sums[left[inside]]) * down[left[inside]]
+            keys.append(mix(segment + mix(grams[at[inside]] + np.uint64(i))))
+            rows.append(own[inside] + begin)
+        begin = end
+    keys, rows = np.concatenate(keys), np.concatenate(rows)
+    order = np.argsort(keys)
+    keys, rows = keys[order], rows[order]
+    same = keys[1:] == keys[:-1]
+    found = np.zeros(len(parts), bool)
+    found[rows[1:][same]] = found[rows[:-1][same]] = True
+    return found
+
+
 def repeats(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of strings in the order of their places: runs (part, first, n) of strings of the length
     that also start earlier in these parts."""
@@ -308,6 +352,11 @@ def compared(found: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bundle in bundles(batches):
+            anchor = bundle.column("anchor").to_numpy()
+            shared = in_company(bundle.column("data").to_pylist(), anchor, length)
+            bundle = bundle.filter(pa.array(shared))
+            if not bundle.num_rows:
+                continue
             bundle = bundle.sort_by([("doc_id", "ascending"), ("start", "ascending")])
             part, first, n = repeats(bundle.column("data").to_pylist(), length)
             yield pa.RecordBatch.from_pydict(
