@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from docgate.llm.common import by_bytes, texts_of
+from docgate.llm.common import by_bytes, texts_of, unseen
 
 CACHED_FRAGMENTS = 200_000
 SPACES = b" \t\n\r\x0b\x0c"
@@ -92,7 +92,7 @@ class Codec:
         parts = [self.fragments(text) for text in texts]
         if len(self.known) > CACHED_FRAGMENTS:
             self.known.clear()
-        new = list(set(chain.from_iterable(parts)) - self.known.keys())
+        new = unseen(chain.from_iterable(parts), self.known)
         done = self.tokenizer.encode_batch_fast([f.decode() for f in new], add_special_tokens=False)
         self.known.update(zip(new, (e.ids for e in done)))
         return [list(chain.from_iterable(map(self.known.__getitem__, part))) for part in parts]

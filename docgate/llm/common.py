@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,3 +56,8 @@ def appended(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.Reco
     """The named columns of a batch followed by new ones."""
     columns = {name: batch.column(name) for name in keep} | new
     return pa.RecordBatch.from_pydict(columns)
+
+
+def unseen(values: Iterable, known: dict) -> list:
+    """Distinct values that are no keys yet; the time depends on the values alone."""
+    return [v for v in set(values) if v not in known]

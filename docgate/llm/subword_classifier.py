@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgate.llm.common import WORD, by_bytes, texts_of
+from docgate.llm.common import WORD, by_bytes, texts_of, unseen
 
 CACHED_WORDS = 300_000
 DOUBLED = 0  # the row of pairs of a word with itself
@@ -71,7 +71,7 @@ def _matrix(texts: list[str], s: Settings) -> list[tuple[np.ndarray, np.ndarray]
     for text in texts:
         sequence = _WORDS.findall(text)
         words = Counter(sequence)
-        for word in words.keys() - known.keys():
+        for word in unseen(words, known):
             known[word] = np.array(features(word, s), np.int64)
         if not words:
             found.append((np.zeros(0, np.int64), np.zeros(0)))
@@ -169,7 +169,7 @@ def score(
                 words = _WORDS.findall(t)
                 if len(known) > CACHED_WORDS:
                     known.clear()
-                for word in set(words) - known.keys():
+                for word in unseen(words, known):
                     rows = features(word, s)
                     known[word] = complex(gains[rows].sum(), len(rows))
                 pairs = doubled(words)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docgate.llm.common import by_bytes, texts_of, written
+from docgate.llm.common import by_bytes, texts_of, unseen, written
 from docgate.llm.components import components
 
 CACHED_WORDS = 400_000
@@ -72,7 +72,7 @@ class Shingler:
             return np.zeros(0, np.uint64)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        for word in set(words) - self.known.keys():
+        for word in unseen(words, self.known):
             self.known[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
         hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         width = min(self.width, len(words))

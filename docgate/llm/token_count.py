@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from docgate.llm.common import WORD, by_bytes, texts_of
+from docgate.llm.common import WORD, by_bytes, texts_of, unseen
 
 CACHED_WORDS = 400_000
 PIECE_CHARS = 1 << 20
@@ -40,7 +40,7 @@ class Counter:
         """Tokens of lists of words; new words are encoded in one batch."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = list(set(chain.from_iterable(parts)) - self.known.keys())
+        new = unseen(chain.from_iterable(parts), self.known)
         done = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         self.known.update(zip(new, map(len, done)))
         return [sum(map(self.known.__getitem__, words)) for words in parts]
