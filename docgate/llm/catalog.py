@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import bpe, chat, line_quality, subword_classifier, suffix_dedup, superminhash
+from docgate.llm import bpe, chat, embedding_dedup, line_quality, mixing, subword_classifier, suffix_dedup, superminhash
 from docgate.llm import token_count, warc
 from docgate.llm.common import scratch, table, written
 
@@ -42,6 +42,20 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sample(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"),
+        F.round("_probability", 6).alias("probability"),
+        F.col("_sampled").alias("sampled"),
+    )
+
+
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lengths = F.transform("removed", lambda s: s["end"] - s["start"])
@@ -88,8 +102,12 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_bpe, op2_token_counts, op3_line_quality, op6_suffix, op7_chat, op8_warc,
-        op9_quality, op10_superminhash,
+        op1_bpe, op2_token_counts, op3_line_quality, op4_embeddings, op5_mixing, op6_suffix,
+        op7_chat, op8_warc, op9_quality, op10_superminhash,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": f"WITH {mixing.sql()}\n"
+    "SELECT doc_id, _topic AS topic, _tokens AS n_tokens, round(_probability, 6) AS probability, "
+    "_sampled AS sampled FROM sampled",
+}

@@ -398,8 +398,13 @@ def spans_of(runs: list[dict], length: int, n_bytes: int) -> list[tuple[int, int
     return [tuple(s) for s in spans]
 
 
+def readable(kept: bytes) -> str:
+    """The text of bytes that stay; characters that a cut went through are left out."""
+    return kept.decode("utf-8", "ignore")
+
+
 def cut(docs: DataFrame, length: int = LENGTH, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The named columns, n_bytes, removed spans and the bytes that stay."""
+    """The named columns, n_bytes, removed spans, the bytes that stay and their text."""
     runs = written(covered_runs(docs, length), "covered")
     lists = runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     keep = list(keep)
@@ -407,21 +412,22 @@ def cut(docs: DataFrame, length: int = LENGTH, keep: tuple[str, ...] = ("doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "data", limit=2 << 20):
-            spans, left = [], []
+            spans, left, texts = [], [], []
             for row in batch.select(["data", "n_bytes", "runs"]).to_pylist():
                 data = unpacked(row)
                 own = spans_of(row["runs"] or [], length, len(data))
                 edges = [0, *(x for s in own for x in s), len(data)]
                 left.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                texts.append(readable(left[-1]))
                 spans.append([{"start": a, "end": b} for a, b in own])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in keep), batch.column("n_bytes"),
-                 pa.array(spans, kind), pa.array(left, pa.binary())],
-                [*keep, "n_bytes", "removed", "kept"],
+                 pa.array(spans, kind), pa.array(left, pa.binary()), pa.array(texts, pa.string())],
+                [*keep, "n_bytes", "removed", "kept", "text"],
             )
 
     fields = [docs.schema[name] for name in keep]
-    ddl = "n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary"
+    ddl = "n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary, text string"
     schema = T.StructType([*fields, *T.StructType.fromDDL(ddl)])
     return joined.select(*keep, "data", "n_bytes", "runs").mapInArrow(run, schema)
