@@ -26,7 +26,8 @@ from tokenizers import Tokenizer
 
 from docgate.llm.common import by_bytes, texts_of, unseen
 
-CACHED_FRAGMENTS = 200_000
+CACHED_FRAGMENTS = 60_000
+ENCODED_BYTES = 1 << 20  # text encoded at once: fragments and ids are small Python objects
 SPACES = b" \t\n\r\x0b\x0c"
 # The three-byte white-space characters of Unicode.
 WIDE_SPACE = rb"\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
@@ -40,6 +41,18 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
+def vocabulary(tokenizer: Tokenizer) -> list[bytes]:
+    """The bytes of every id."""
+    special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+    alphabet = byte_alphabet()
+    tokens = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
+    for token, number in tokenizer.get_vocab(with_added_tokens=True).items():
+        tokens[number] = (
+            special[number].encode() if number in special else bytes(alphabet[c] for c in token)
+        )
+    return tokens
+
+
 class Codec:
     """One tokenizer file with what follows from its vocabulary."""
 
@@ -47,19 +60,13 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        alphabet = byte_alphabet()
-        self.tokens: list[bytes] = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
-        for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.tokens[number] = (
-                special[number].encode() if number in special else bytes(alphabet[c] for c in token)
-            )
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokens = vocabulary(self.tokenizer)
         self.joined = np.zeros((256, 256), bool)
         for token in self.tokens:
             self.joined[list(token[:-1]), list(token[1:])] = True
-        self.special = sorted(s.encode() for s in special.values())
+        self.special = sorted(s.encode() for s in special)
         self.fragment = re.compile(self._pattern())
-        self.vocabulary = pa.array(self.tokens, pa.large_binary())
         self.known: dict[bytes, list[int]] = {}
 
     def _pattern(self) -> bytes:
@@ -104,11 +111,17 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=4)
+def token_bytes(path: str) -> pa.LargeBinaryArray:
+    """All that decoding needs."""
+    return pa.array(vocabulary(Tokenizer.from_file(path)), pa.large_binary())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Append the token ids of a text column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, text):
+        for batch in by_bytes(batches, text, ENCODED_BYTES):
             found = pa.array(codec(path).encode(texts_of(batch, text)), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, found], [*batch.schema.names, ids]
@@ -126,7 +139,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
         for batch in batches:
             lists = pc.fill_null(batch.column(ids), pa.scalar([], pa.list_(pa.int32())))
             ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-            taken = codec(path).vocabulary.take(lists.flatten())
+            taken = token_bytes(path).take(lists.flatten())
             sizes = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy())])
             at = sizes[ends.astype(np.int64)]
             whole = b"".join(taken.to_pylist()) if taken.offset else _data(taken)
