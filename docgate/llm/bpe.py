@@ -13,6 +13,7 @@ both functions only append a column. A column of that name must not exist yet.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -24,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from docgate.llm.common import by_bytes, texts_of, unseen
+from docgate.llm.common import by_bytes, by_size, texts_of, unseen
 
-CACHED_FRAGMENTS = 60_000
+CACHED_FRAGMENTS = 120_000
+DECODED_TOKENS = 1 << 18
 ENCODED_BYTES = 1 << 20  # text encoded at once: fragments and ids are small Python objects
 SPACES = b" \t\n\r\x0b\x0c"
 # The three-byte white-space characters of Unicode.
@@ -67,7 +69,8 @@ class Codec:
             self.joined[list(token[:-1]), list(token[1:])] = True
         self.special = sorted(s.encode() for s in special)
         self.fragment = re.compile(self._pattern())
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}  # ids of fragments as 32-bit numbers
+        self.older: dict[bytes, bytes] = {}  # those of the generation before
 
     def _pattern(self) -> bytes:
         """Matches one fragment after the other: white space, then other characters, going on
@@ -94,15 +97,17 @@ class Codec:
             found += [part] if part in self.special else self.fragment.findall(part)
         return found
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of every text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, as 32-bit numbers one after the other."""
         parts = [self.fragments(text) for text in texts]
         if len(self.known) > CACHED_FRAGMENTS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         new = unseen(chain.from_iterable(parts), self.known)
+        self.known.update((f, self.older[f]) for f in new if f in self.older)
+        new = [f for f in new if f not in self.older]
         done = self.tokenizer.encode_batch_fast([f.decode() for f in new], add_special_tokens=False)
-        self.known.update(zip(new, (e.ids for e in done)))
-        return [list(chain.from_iterable(map(self.known.__getitem__, part))) for part in parts]
+        self.known.update((f, array("i", e.ids).tobytes()) for f, e in zip(new, done))
+        return [b"".join(map(self.known.__getitem__, part)) for part in parts]
 
 
 @lru_cache(maxsize=4)
@@ -122,7 +127,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, text, ENCODED_BYTES):
-            found = pa.array(codec(path).encode(texts_of(batch, text)), pa.list_(pa.int32()))
+            packed = codec(path).encode(texts_of(batch, text))
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+            flat = pa.Array.from_buffers(
+                pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))]
+            )
+            found = pa.ListArray.from_arrays(ends, flat)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, found], [*batch.schema.names, ids]
             )
@@ -132,24 +142,25 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Append the text of an id column. The bytes of all tokens are put together by one Arrow
-    take; bytes that are no UTF-8 become replacement characters. Null ids are no ids."""
+    """Put the text of an id column in its place. The bytes of all tokens are put together by one
+    Arrow take; bytes that are no UTF-8 become replacement characters. Null ids are no ids."""
+    kept = [f for f in encoded.schema.fields if f.name != ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, ids, pc.list_value_length, DECODED_TOKENS):
             lists = pc.fill_null(batch.column(ids), pa.scalar([], pa.list_(pa.int32())))
             ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
             taken = token_bytes(path).take(lists.flatten())
             sizes = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy())])
-            at = sizes[ends.astype(np.int64)]
-            whole = b"".join(taken.to_pylist()) if taken.offset else _data(taken)
+            at = sizes[ends.astype(np.int64)].astype(np.int64)
+            whole = _data(taken)
             texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text]
+                [*(batch.column(f.name) for f in kept), pa.array(texts, pa.string())],
+                [*(f.name for f in kept), text],
             )
 
-    schema = T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())])
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(run, T.StructType([*kept, T.StructField(text, T.StringType())]))
 
 
 def _data(taken: pa.LargeBinaryArray) -> bytes:

@@ -19,12 +19,14 @@ QUALITY = 0.7
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, path).drop("text"), path)
-    return both.select(
+    encoded = bpe.encode(docs, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "ids",
+    )
+    return bpe.decode(encoded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 

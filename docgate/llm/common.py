@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,22 +31,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def by_bytes(
-    batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
+def by_size(
+    batches: Iterator[pa.RecordBatch], column: str, measure: Callable, limit: int
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches where the bytes of one column reach the limit; a longer value is alone."""
+    """Cut batches where the measure of one column reaches the limit; a larger value is alone."""
     for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
-        for row, size in enumerate(sizes):
+        for row, size in enumerate(measure(batch.column(column)).fill_null(0).to_pylist()):
             if row > start and held + size > limit:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size
-        if start < len(sizes):
+        if start < batch.num_rows:
             yield batch.slice(start)
 
 
+def by_bytes(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches by the bytes of one column."""
+    return by_size(batches, column, pc.binary_length, limit)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """A text column as Python strings; null is the empty text."""
     return ["" if t is None else t for t in batch.column(column).to_pylist()]

@@ -40,7 +40,7 @@ class Settings:
     max_rows: int = 3000
     buckets: int = 1 << 16
     dim: int = 8
-    shortest: int = 2
+    shortest: int = 3
     longest: int = 4
     epochs: int = 5
     batch: int = 32
@@ -50,13 +50,11 @@ class Settings:
 
 def features(word: str, s: Settings) -> list[int]:
     """Rows of a word and of its character n-grams; the ends of the word are marked."""
-    marked = f"<{word}>"
-    grams = {
-        marked[i : i + n]
-        for n in range(s.shortest, s.longest + 1)
-        for i in range(len(marked) - n + 1)
-    }
-    return [crc32(gram.encode()) % s.buckets for gram in sorted(grams | {f"={word}"})]
+    marked, n = f"<{word}>", len(word) + 2
+    grams = [f"={word}"]
+    for width in range(s.shortest, min(s.longest, n) + 1):
+        grams += [marked[i : i + width] for i in range(n - width + 1)]
+    return [crc32(gram.encode()) % s.buckets for gram in grams]
 
 
 def doubled(words: list[str]) -> int:
@@ -162,6 +160,7 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains, constant = shared.value
+        gain_of = gains.tolist().__getitem__
         known: dict[str, complex] = {}  # what a word adds, and the number of its features
         for batch in by_bytes(batches, text):
             odds = []
@@ -171,7 +170,7 @@ def score(
                     known.clear()
                 for word in unseen(words, known):
                     rows = features(word, s)
-                    known[word] = complex(gains[rows].sum(), len(rows))
+                    known[word] = complex(sum(map(gain_of, rows)), len(rows))
                 pairs = doubled(words)
                 total = sum(map(known.__getitem__, words), complex(pairs * gains[DOUBLED], pairs))
                 odds.append(constant + (total.real / total.imag if words else 0.0))
