@@ -247,7 +247,8 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFra
     block = F.pmod(F.xxhash64("doc_id"), F.col("n_blocks"))
     placed = groups.join(sizes, "group").withColumn("block", block)
     texts = docs.select("doc_id", "text").join(placed, "doc_id")
-    members = written(with_sets(texts, s).withColumn("label", F.col("doc_id")), "sets")
+    sets = with_sets(texts, s).where(F.size("elements") > 0)  # ids may come with empty rows too
+    members = written(sets.withColumn("label", F.col("doc_id")), "sets")
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
     hot = members.where("n_blocks > 1")
     seats = hot.where("doc_id = center").withColumn("block", every_block)
