@@ -27,9 +27,9 @@ from tokenizers import Tokenizer
 
 from docgate.llm.common import by_bytes, by_size, texts_of, unseen
 
-CACHED_FRAGMENTS = 120_000
+CACHED_FRAGMENTS = 200_000
 DECODED_TOKENS = 1 << 18
-ENCODED_BYTES = 1 << 20  # text encoded at once: fragments and ids are small Python objects
+ENCODED_BYTES = 2 << 20  # text encoded at once: fragments and ids are small Python objects
 SPACES = b" \t\n\r\x0b\x0c"
 # The three-byte white-space characters of Unicode.
 WIDE_SPACE = rb"\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
