@@ -9,7 +9,8 @@ files of the manifest are read. A task that runs again writes the same bytes und
 
 Of records with equal payloads the one with the largest ``page_id`` is the response, the others
 are revisits that refer to it, if the payload has at least ``least_bytes``. How often a payload
-occurs is summed before the shuffle, and lookups of frequent payloads are salted.
+occurs is summed before the shuffle, lookups of frequent payloads are salted and take ids and
+hashes only; payloads are exchanged once, for the range sort.
 
 Null payloads are empty, null urls empty, repeated rows are records of their own (of several rows
 with the largest ``page_id`` one is the response). Rows without ``page_id`` are written as
@@ -57,23 +58,29 @@ def record_id(page_id, payload_digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'page:{page_id}:{payload_digest}')}>"
 
 
-def with_targets(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Pages as payloads, each with the page that holds the response and whether it is the one."""
-    payload: Column = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    rows = pages.select(
+def payloads(pages: DataFrame) -> DataFrame:
+    """page_id, url, payload and the payload's hash."""
+    return pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.coalesce("url", F.lit("")).alias("url"),
-        payload.alias("payload"),
-    ).withColumns({"sha": F.sha2("payload", 256), "salt": F.pmod(F.xxhash64("page_id"), F.lit(SALTS))})
+        F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"),
+    ).withColumn("sha", F.unhex(F.sha2("payload", 256)))
+
+
+def targets(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """page_id, sha and the page with the response, for payloads that occur more than once. Only
+    ids and hashes are exchanged."""
+    keys = rows.where(F.octet_length("payload") >= least_bytes).select(
+        "page_id", "sha", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).alias("salt")
+    )
     frequent = (
-        rows.where(F.octet_length("payload") >= least_bytes)
-        .groupBy("sha")
+        keys.groupBy("sha")
         .agg(F.max("page_id").alias("response_id"), F.count("*").alias("copies"))
         .where((F.col("copies") > 1) & F.col("response_id").isNotNull())
         .select("sha", "response_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
         .withColumn("salt", F.col("salt").cast("long"))
     )
-    return rows.join(frequent, ["sha", "salt"], "left").drop("salt", "sha")
+    return keys.join(frequent, ["sha", "salt"]).select("page_id", "sha", "response_id")
 
 
 def headers(fields: dict[str, str]) -> bytes:
@@ -145,30 +152,36 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, least_byt
     """Write all pages below ``folder``, a URI that driver and executors share; the manifest."""
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path)
+    rows = payloads(pages)
+    # What a page refers to travels to the page's shard as a row of its own, ahead of the page.
+    known = targets(rows, least_bytes).select(
+        "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
+        "sha", "response_id",
+    )
     sorted_rows = (
-        with_targets(pages, least_bytes)
-        .drop("copies")
-        .repartitionByRange("page_id", F.xxhash64("payload"))
-        .sortWithinPartitions("page_id", F.xxhash64("payload"), "url")
+        rows.withColumn("response_id", F.lit(None).cast("long"))
+        .unionByName(known)
+        .repartitionByRange("page_id", "sha")
+        .sortWithinPartitions("page_id", "sha", F.col("payload").isNotNull(), "url")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         roll = Roll(folder, context.partitionId(), context.taskAttemptId(), roll_bytes)
-        responses: set[bytes] = set()  # payloads of the current page that have their response
-        current = None
+        current, target, responded = None, None, False
         for batch in batches:
             for row in range(batch.num_rows):
-                page_id, url, payload, response_id = (
+                page_id, url, payload, sha, response_id = (
                     batch.column(name)[row].as_py()
-                    for name in ("page_id", "url", "payload", "response_id")
+                    for name in ("page_id", "url", "payload", "sha", "response_id")
                 )
-                if page_id != current:
-                    current, responses = page_id, set()
-                first = page_id == response_id and payload not in responses
-                if first:
-                    responses = {payload}
-                done = roll.add(record(page_id, url, payload, None if first else response_id))
+                if payload is None:
+                    current, target, responded = (page_id, sha), response_id, False
+                    continue
+                refers_to = target if (page_id, sha) == current else None
+                if refers_to is not None and refers_to == page_id and not responded:  # of equal rows the first responds
+                    refers_to, responded = None, True
+                done = roll.add(record(page_id, url, payload, refers_to))
                 if done:
                     yield pa.RecordBatch.from_pylist([done])
         done = roll.close()
