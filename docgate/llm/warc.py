@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from docgate.llm.common import written
 
 ROLL_BYTES = 64 << 20
+READ_BYTES = 256 << 20  # archives that one task reads
 SALTS = 16
 DATE = "2024-01-01T00:00:00Z"
 LINE_END = b"\r\n"
@@ -243,5 +244,9 @@ def read(manifest: DataFrame, folder: str, columns: tuple[str, ...] = tuple(_REC
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     spark_schema = ", ".join(p for p in RECORD.split(", ") if p.split()[0] in columns)
-    files = manifest.select("file").repartition("file")
+    # The manifest is small whatever the archives hold, so tasks are counted from their bytes.
+    total = manifest.agg(F.count("*").alias("files"), F.sum("n_bytes").alias("bytes")).first()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(total["files"], cores), -(-(total["bytes"] or 0) // READ_BYTES))
+    files = manifest.select("file").repartitionByRange(tasks, "file")
     return files.mapInArrow(run, spark_schema)
