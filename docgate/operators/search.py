@@ -1,12 +1,12 @@
 """Keyword search over the chunk table, for one query or a table of questions.
 
-A chunk table has ``doc_id, chunk_no, chunk_text, source_url``; ``(doc_id, chunk_no)`` is its key.
-Question tables have ``question_id, question``.
+A chunk table has ``doc_id, chunk_no, chunk_text, source_url``. Several chunks may share
+``doc_id, chunk_no`` (messages without a trace id do); they are different chunks, and ties between
+them are ordered by a hash of their text. Question tables have ``question_id, question``.
 
-Scale notes. The single-query forms are one scan with a bounded top-k. The batch forms explode
-each chunk into its distinct words inside the scan stage and probe a broadcast table of question
-words there, so no word of the corpus is ever shuffled; the table is broadcast only after it has
-been measured, and a shuffle plan takes over above the limit. Every top-k is cut to k rows per
+Scale notes. The single-query forms are one scan with a bounded top-k. In the batch forms what is
+broadcast is a table of question words, after it has been measured; above the limit the same
+expressions run on a shuffled join, so the rows are the same. Every top-k is cut to k rows per
 question inside each map task before the rows are exchanged, so a question matching a third of
 the corpus still sends k rows per task, and these meet in lanes, not all in one task.
 """
@@ -20,30 +20,30 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docgate.functions.strict_json import ROOT
 from docgate.functions.terms import terms, tokens
-from docgate.operators.gate import keep
+from docgate.operators.gate import keep, with_syntax
 from docgate.operators.sizing import BROADCAST_LIMIT, fits_broadcast
 from docgate.session import reliable
 
 DEFAULT_TOP_K = 5
-MAX_TOP_K = 20
-# Fixed value: the substring search looks at this many words of the query.
-ANY_WORD_LIMIT = 5
 BM25_K1 = 1.2
 BM25_B = 0.75
 
 _KEY = ("doc_id", "chunk_no")
 _LANES = 64
+# Shares of a score are added up as whole multiples of this, so that their order is of no account.
+_UNIT = 1e-12
 
 
 def _check_top_k(top_k: int) -> None:
-    if not 1 <= top_k <= MAX_TOP_K:
-        raise ValueError(f"top_k must be in 1..{MAX_TOP_K}, got {top_k}")
+    if top_k < 1:
+        raise ValueError(f"top_k must be at least 1, got {top_k}")
 
 
 def _first(found: DataFrame, top_k: int) -> DataFrame:
     """The first ``top_k`` hits in key order; a top-k operator, not a sort of all hits."""
-    ordered = found.orderBy(*_KEY).limit(top_k)
+    ordered = found.orderBy(*_KEY, F.xxhash64("chunk_text")).limit(top_k)
     return ordered.select(*_KEY, "chunk_text", "source_url")
 
 
@@ -61,11 +61,14 @@ def search_all_terms(chunks: DataFrame, query: str, top_k: int = DEFAULT_TOP_K)
     return _first(chunks.where(likely & (F.size(missing) == 0)), top_k)
 
 
-def search_any_word(chunks: DataFrame, query: str, top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """Chunks that contain one of the query's first words anywhere, also inside a word."""
+def search_any_word(
+    chunks: DataFrame, query: str, top_k: int = DEFAULT_TOP_K, max_words: int | None = None
+) -> DataFrame:
+    """Chunks that contain one of the query's words (of the first ``max_words``, if given)
+    anywhere, also inside a word."""
     _check_top_k(top_k)
     lowered = F.lower("chunk_text")
-    hits = [F.contains(lowered, F.lower(F.lit(w))) for w in query.split()[:ANY_WORD_LIMIT]]
+    hits = [F.contains(lowered, F.lower(F.lit(w))) for w in query.split()[:max_words]]
     return _first(chunks.where(reduce(or_, hits) if hits else F.lit(False)), top_k)
 
 
@@ -102,14 +105,34 @@ def _question_terms(questions: DataFrame) -> DataFrame:
     return words.where(F.size("wanted") > 0)
 
 
-def _chunk_words(chunks: DataFrame, *columns: str) -> DataFrame:
-    """One row per distinct word of a chunk; ``all_words`` keeps the chunk's words, with repeats.
+def corpus_stats(chunks: DataFrame) -> DataFrame:
+    """Word statistics of the whole corpus: ``term, n_chunks, n_words``.
 
-    Conditions on ``all_words`` should accept NULL (``coalesce``): else Spark infers that it is not
-    NULL and checks that by splitting every chunk into words once more, further down.
+    ``n_chunks`` is the number of chunks with the word and ``n_words`` their total length. The row
+    with the empty term describes the corpus itself: every chunk is counted under it. Summed up
+    inside the map tasks, so a word found everywhere is one row of each. May be stored and passed
+    to the searches below, for any questions.
     """
-    worded = chunks.select(*_KEY, *columns, tokens(F.col("chunk_text")).alias("all_words"))
-    return worded.withColumn("term", F.explode(F.array_distinct("all_words")))
+    worded = chunks.select(tokens(F.col("chunk_text")).alias("words"))
+    each = worded.select(
+        F.size("words").alias("length"),
+        F.explode(F.array_append(F.array_distinct("words"), "")).alias("term"),
+    )
+    return each.groupBy("term").agg(
+        F.count("*").alias("n_chunks"), F.sum("length").alias("n_words")
+    )
+
+
+def _anchored(questions: DataFrame, stats: DataFrame) -> DataFrame:
+    """``question_id, wanted, term``: a question with its words and the rarest of them."""
+    each = _question_terms(questions).select("question_id", F.explode("wanted").alias("term"))
+    rarity = F.struct(F.coalesce("n_chunks", F.lit(0)), "term")
+    return (
+        each.join(stats, "term", "left")
+        .groupBy("question_id")
+        .agg(F.collect_list("term").alias("wanted"), F.min(rarity).alias("rarest"))
+        .select("question_id", "wanted", F.col("rarest.term").alias("term"))
+    )
 
 
 def search_batch(
@@ -118,57 +141,32 @@ def search_batch(
     top_k: int = DEFAULT_TOP_K,
     carry: tuple[str, ...] = (),
     broadcast_limit: int = BROADCAST_LIMIT,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """For every question the first ``top_k`` chunks that contain all its words.
 
     Returns ``question_id, rank, doc_id, chunk_no`` and the chunk columns named in ``carry``.
+    A question meets a chunk through its rarest word only, and the other words are tested on the
+    spot. With too many questions to broadcast, the chunk's rows under such words are exchanged.
     """
     _check_top_k(top_k)
-    wanted = _question_terms(questions)
-    if fits_broadcast(questions, broadcast_limit):
-        # A question meets a chunk through one of its words only, the longest: a chunk is a
-        # candidate at most once per question, and long words are rare ones.
-        longest = F.expr("array_max(transform(wanted, w -> struct(length(w) AS n, w AS word))).word")
-        anchored = wanted.select("question_id", "wanted", longest.alias("term"))
-        hits = (
-            _chunk_words(chunks, *carry)
-            .join(F.broadcast(anchored), "term")
-            .where(F.coalesce(F.size(F.array_except("wanted", "all_words")) == 0, F.lit(False)))
-            .select("question_id", *_KEY, *carry)
-        )
-        return _ranked(hits, _KEY, top_k).select("question_id", "rank", *_KEY, *carry)
-    # Too many questions to broadcast: meet on words by a shuffled (skew-aware) join of narrow
-    # rows, count the distinct words met, and fetch the carried columns for the winners.
-    needed = wanted.select("question_id", F.size("wanted").alias("n"), F.explode("wanted").alias("term"))
-    met = _chunk_words(chunks).drop("all_words").join(needed, "term")
-    counted = met.groupBy("question_id", *_KEY, "n").agg(F.count("*").alias("met"))
-    top = _ranked(counted.where(F.col("met") == F.col("n")), _KEY, top_k)
-    top = top.select("question_id", "rank", *_KEY)
-    return top.join(chunks.select(*_KEY, *carry), list(_KEY)) if carry else top
-
-
-def corpus_stats(
-    chunks: DataFrame, questions: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
-) -> DataFrame:
-    """Word statistics for ranking: ``term, n_chunks, n_words``, one row per question word.
-
-    ``n_chunks`` is the number of chunks with the word and ``n_words`` their total length. The row
-    with the empty term describes the whole corpus: every chunk is counted under it, in the same
-    pass. Summed up inside the map tasks, so only (words x tasks) tiny rows are exchanged.
-    """
-    dictionary = _question_terms(questions).select(F.explode("wanted").alias("term"))
-    whole = questions.sparkSession.sql("SELECT '' AS term")
-    dictionary = dictionary.unionByName(whole).distinct()
-    worded = chunks.select(tokens(F.col("chunk_text")).alias("words"))
-    each = worded.select(
-        F.size("words").alias("length"),
-        F.explode(F.array_append(F.array_distinct("words"), "")).alias("term"),
-    )
-    totals = [F.count("*").alias("n_chunks"), F.sum("length").alias("n_words")]
-    if fits_broadcast(questions, broadcast_limit):
-        return each.join(F.broadcast(dictionary), "term").groupBy("term").agg(*totals)
-    # Aggregated before the join, so a word found everywhere is one row when it gets there.
-    return each.groupBy("term").agg(*totals).join(dictionary, "term", "left_semi")
+    anchored = reliable(_anchored(questions, corpus_stats(chunks) if stats is None else stats))
+    # Conditions on ``all_words`` accept NULL: else Spark infers that it is not NULL and checks
+    # that by splitting every chunk into words once more, further down.
+    each = chunks.select(
+        *_KEY, *carry, F.xxhash64("chunk_text").alias("_id"), tokens(F.col("chunk_text")).alias("all_words")
+    ).withColumn("term", F.explode(F.array_distinct("all_words")))
+    if fits_broadcast(anchored, broadcast_limit, F.octet_length(F.array_join("wanted", " "))):
+        met = each.join(F.broadcast(anchored), "term")
+    else:
+        words = anchored.select("term").distinct()
+        if fits_broadcast(words, broadcast_limit, F.octet_length("term")):
+            each = each.join(F.broadcast(words), "term", "left_semi")
+        met = each.join(anchored.hint("merge"), "term")
+    hits = met.where(
+        F.coalesce(F.size(F.array_except("wanted", "all_words")) == 0, F.lit(False))
+    ).select("question_id", *_KEY, "_id", *carry)
+    return _ranked(hits, [*_KEY, "_id"], top_k).select("question_id", "rank", *_KEY, *carry)
 
 
 def search_ranked(
@@ -180,99 +178,57 @@ def search_ranked(
 ) -> DataFrame:
     """For every question its ``top_k`` best chunks by BM25; one common word is enough to count.
 
-    ``stats`` may be passed to reuse the corpus statistics of an earlier call.
+    ``stats``, if given, is ``corpus_stats`` of the same chunks. The chunks are exchanged once, by
+    their identity. Words are counted, met with the question words and added up to scores on that
+    partitioning, so that no pair of chunk and question is exchanged but the first k of a task.
+    With too many questions to broadcast, counted words and shares are exchanged as well.
     """
     _check_top_k(top_k)
     if stats is None:
-        stats = reliable(corpus_stats(chunks, questions, broadcast_limit))
+        stats = reliable(corpus_stats(chunks))
     corpus = stats.where(F.col("term") == "").first()
     n_chunks, n_words = (corpus["n_chunks"], corpus["n_words"]) if corpus else (0, 0)
-    # Part of the score that depends on the chunk only.
-    mean_length = max(n_words, 1) / max(n_chunks, 1)
-    damping = f"{BM25_K1}D * ({1 - BM25_B}D + {BM25_B}D * length / {mean_length!r}D)"
     idf = F.expr(f"ln(1D + ({float(n_chunks)!r}D - n_chunks + 0.5D) / (n_chunks + 0.5D))")
-    weighted = (
+    weighted = reliable(
         _question_terms(questions)
         .select("question_id", F.explode("wanted").alias("term"))
-        .join(stats.where(F.col("term") != ""), "term")
+        .join(stats, "term")
         .select("question_id", "term", idf.alias("idf"))
     )
-    order = [F.col("score").desc(), *_KEY]
-    result = ["question_id", "rank", *_KEY, "score"]
-    if not fits_broadcast(questions, broadcast_limit):
-        scored = _scored_by_shuffle(chunks, weighted, damping)
-        return _ranked(scored, order, top_k).select(*result)
-
-    # The words of a question, rarest first, so the ones before a word weigh more than it does.
-    listed = F.sort_array(F.collect_list(F.struct("idf", "term")), asc=False)
-    weights = reliable(weighted.groupBy("question_id").agg(listed.alias("weights")))
-    # A word adds less than idf * (k1 + 1). First take only the chunks with the rarest word. If the
-    # last of the top k scores more than the other words together could, no other chunk gets in.
-    slots = weights.agg(F.max(F.size("weights")).alias("n")).first()["n"] or 0
-    first = _scored_in_place(chunks, weights.withColumn("needed", F.lit(1)), damping, slots)
-    first = reliable(_ranked(first, order, top_k).select(*result))
-    floors = first.where(F.col("rank") == top_k).select("question_id", F.col("score").alias("floor"))
-    # Otherwise look again, through as many words as it takes for the rest to be too light.
-    rest = f"""aggregate(slice(weights, n + 1, size(weights)), 0D, (s, w) -> s + w.idf) * {BM25_K1 + 1}D"""
-    enough = F.expr(
-        f"""coalesce(array_min(filter(sequence(1, size(weights)), n -> {rest} < floor - 1e-6D)),
-                     size(weights))"""
-    )
-    needs = weights.join(floors, "question_id", "left").withColumn("needed", enough).drop("floor")
-    settled = needs.where(F.col("needed") == 1).select("question_id")
-    again = _scored_in_place(chunks, needs.where(F.col("needed") > 1), damping, slots)
-    second = _ranked(again, order, top_k).select(*result)
-    return first.join(settled, "question_id", "left_semi").unionByName(second)
-
-
-def _scored_in_place(chunks: DataFrame, weights: DataFrame, damping: str, slots: int) -> DataFrame:
-    """Score every chunk that has one of the first ``needed`` words of a question.
-
-    Chunk and question meet once, through the first of these words that the chunk has, and the
-    score is computed right there from the chunk's words. No pair is ever exchanged. ``slots`` is
-    the number of words of the longest question: the sum is written out word by word, as that
-    keeps everything from explode to score in generated code, where a lambda would not.
-    """
-    probes = weights.select(
-        "question_id", "weights", F.expr("posexplode(slice(weights, 1, needed)) AS (at, weight)")
-    ).selectExpr(
-        "question_id", "weights", "weight.term AS term", "slice(weights, 1, at).term AS earlier"
+    small = fits_broadcast(weighted, broadcast_limit, F.octet_length("term"))
+    met = _counted_words(chunks).join(F.broadcast(weighted) if small else weighted.hint("merge"), "term")
+    mean_length = max(n_words, 1) / max(n_chunks, 1)
+    damping = f"{BM25_K1}D * ({1 - BM25_B}D + {BM25_B}D * length / {mean_length!r}D)"
+    share = F.expr(f"CAST(round(idf * tf * {BM25_K1 + 1}D / (tf + {damping}) / {_UNIT!r}D) AS BIGINT)")
+    scored = met.groupBy("question_id", *_KEY, "_id", "copies").agg(
+        F.round(F.sum(share) * _UNIT, 6).alias("score")
     )
-    worded = chunks.select(*_KEY, tokens(F.col("chunk_text")).alias("all_words")).selectExpr(
-        *_KEY, "all_words", "size(all_words) AS length", f"{damping} AS damping"
+    # Chunks equal in key and text were scored once and are hits of their own.
+    hits = scored.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.least("copies", F.lit(top_k)).cast("int"))))
+    ranked = _ranked(hits, [F.col("score").desc(), *_KEY, "_id"], top_k)
+    return ranked.select("question_id", "rank", *_KEY, "score")
+
+
+def _counted_words(chunks: DataFrame) -> DataFrame:
+    """One row per word of a chunk: its count ``tf``, the chunk's ``length`` in words and
+    ``copies``, the number of chunks equal in key and text. One exchange, of whole chunks."""
+    identity = (*_KEY, "_id")
+    unique = (
+        chunks.select(*_KEY, F.xxhash64("chunk_text").alias("_id"), "chunk_text")
+        .groupBy(*identity)
+        .agg(F.first("chunk_text").alias("text"), F.count("*").alias("copies"))
     )
-    each = worded.withColumn("term", F.explode(F.array_distinct("all_words")))
-    met = each.join(F.broadcast(probes), "term").where(
-        ~F.coalesce(F.arrays_overlap("earlier", "all_words"), F.lit(False))
+    worded = unique.select(*identity, "copies", tokens(F.col("text")).alias("words"))
+    each = worded.select(
+        *identity, "copies", F.size("words").alias("length"), F.explode("words").alias("term")
     )
+    return each.groupBy(*identity, "copies", "length", "term").agg(F.count("*").alias("tf"))
 
-    def share(slot: int) -> str:
-        # tf / (tf + damping), written with a single use of tf; 0 past the question's last word.
-        word = f"get(weights, {slot})"
-        times = f"(length - size(array_remove(all_words, {word}.term)))"
-        return f"coalesce({word}.idf * (1D - damping / ({times} + damping)), 0D)"
 
-    total = " + ".join(share(slot) for slot in range(slots)) or "0D"
-    return met.selectExpr("question_id", *_KEY, f"round({BM25_K1 + 1}D * ({total}), 6) AS score")
-
-
-def _scored_by_shuffle(chunks: DataFrame, weighted: DataFrame, damping: str) -> DataFrame:
-    """The same scores for more questions than can be broadcast, by (skew-aware) shuffled joins."""
-    worded = chunks.select(*_KEY, tokens(F.col("chunk_text")).alias("words"))
-    occurrences = worded.select(
-        *_KEY, F.size("words").alias("length"), F.explode(F.array_compact("words")).alias("term")
-    )
-    counted = occurrences.groupBy(*_KEY, "length", "term").agg(F.count("*").alias("tf"))
-    part = F.expr(f"idf * tf * {BM25_K1 + 1}D / (tf + {damping})")
-    scored = counted.join(weighted, "term").groupBy("question_id", *_KEY)
-    return scored.agg(F.round(F.sum(part), 6).alias("score"))
-
-
-def find_by_trace(resolved: DataFrame, trace_id: str) -> DataFrame:
-    """Accepted messages with the given trace id, for rows that carry ``errors`` and ``trace_id``."""
-    return keep(
-        resolved,
-        (F.size("errors") == 0) & (F.col("trace_id") == trace_id),
-        "message_id",
-        "trace_id",
-    )
+def find_by_trace(messages: DataFrame, trace_id: str) -> DataFrame:
+    """``message_id, trace_id`` of all messages that parse as JSON and have the given trace id,
+    whether or not they keep to the contract."""
+    member = F.expr(f"try_variant_get(_wrapped, '{ROOT}.trace_id', 'string')")
+    parsed = with_syntax(messages)
+    hit = F.col("_code").isNull() & (member == trace_id)
+    return keep(parsed, hit, "message_id", member.alias("trace_id"))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Questions whose texts add up to more than this many bytes are never broadcast. What is derived
-# from them and broadcast (words, weights) is a small multiple of it.
+# Frames that add up to more than this many bytes are never broadcast.
 BROADCAST_LIMIT = 4 * 1024 * 1024
 _ROW_BYTES = 64
 
 
-def fits_broadcast(questions: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """Measure the questions with one distributed aggregate; a single number reaches the driver."""
-    size = F.sum(F.octet_length("question") + F.lit(_ROW_BYTES))
-    return (questions.agg(size.alias("bytes")).first()["bytes"] or 0) <= limit
+def fits_broadcast(df: DataFrame, limit: int, row_bytes: Column) -> bool:
+    """Measure what would be broadcast with one distributed aggregate; a single number reaches
+    the driver. ``row_bytes`` are the bytes of a row's texts."""
+    size = F.sum(row_bytes + F.lit(_ROW_BYTES))
+    return (df.agg(size.alias("bytes")).first()["bytes"] or 0) <= limit

@@ -106,7 +106,7 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("question_id"),
-        F.regexp_extract("text", r"^\S+\s+\S+\s+\S+", 0).alias("question"),
+        F.col("text").alias("question"),
     )
 
 
@@ -126,7 +126,7 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .where(F.col("question").isNotNull() & F.col("answer").isNotNull())
     )
-    words = F.slice(F.split("question", " "), 1, 5)
+    words = F.split("question", " ")
     none = F.array().cast("array<string>")
     return pairs.select(
         "question",

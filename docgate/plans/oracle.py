@@ -170,8 +170,7 @@ chunks AS (
 
 _QUESTIONS = r"""
 questions AS (
-  SELECT item_id AS question_id, regexp_extract(text, '^\S+\s+\S+\s+\S+') AS question
-  FROM benchmark
+  SELECT item_id AS question_id, text AS question FROM benchmark
 )
 """
 
@@ -204,7 +203,7 @@ hits AS (
 _ANSWERS = """
 answers AS (
   SELECT q.conv_id, q.text AS question, a.text AS answer,
-    CASE WHEN q.conv_id % 10 = 0 THEN []::VARCHAR[] ELSE string_split(q.text, ' ')[1:5] END AS terms
+    CASE WHEN q.conv_id % 10 = 0 THEN []::VARCHAR[] ELSE string_split(q.text, ' ') END AS terms
   FROM conversations q JOIN conversations a ON q.conv_id = a.conv_id AND a.turn = q.turn + 1
   WHERE q.role = 'user' AND a.role = 'assistant'
 ),
@@ -310,7 +309,8 @@ ORACLE: dict[str, str] = {
         SELECT message_id, 'REJECTED — ' || concat_ws('; ', bad_content, bad_source) FROM ingest
         WHERE bad_content IS NOT NULL OR bad_source IS NOT NULL"""),
     "find_by_trace": _on_messages(
-        f"SELECT message_id, trace_id FROM accepted WHERE trace_id = '{TRACE}'"
+        "SELECT message_id, json_extract_string(canonical, '$.trace_id') AS trace_id FROM syntax "
+        f"WHERE early IS NULL AND json_extract_string(canonical, '$.trace_id') = '{TRACE}'"
     ),
     "stream_ingest": _on_messages("SELECT message_id, doc_id, chunk_no, chunk_text FROM event_chunks"),
     "chunk_counts": _with(
@@ -323,7 +323,7 @@ ORACLE: dict[str, str] = {
         )
     ),
     "search_any_word": _word_match(
-        " OR ".join(f"contains(lower(chunk_text), '{w}')" for w in QUERY.split()[:5])
+        " OR ".join(f"contains(lower(chunk_text), '{w}')" for w in QUERY.split())
     ),
     "search_batch": _with(
         _CHUNKS, _QUESTIONS, _WORDS, _HITS, "SELECT question_id, rank, doc_id, chunk_no FROM hits"

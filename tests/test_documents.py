@@ -1,7 +1,10 @@
 import json
+import random
+import time
 
 import pytest
 
+from docgate.functions import html
 from docgate.functions.html import html_text
 from docgate.operators import chunks as chunk_ops
 from docgate.operators import documents as ops
@@ -64,3 +67,30 @@ def test_large_pages_do_not_exhaust_the_stack(spark):
     page = "<script>" + "x = 1;\n" * 300_000 + "</script><p>" + "word " * 200_000 + "</p><!-- " + "y\n" * 300_000 + "-->"
     df = spark.createDataFrame([(page,)], "html string")
     assert df.select(F.length(html_text(F.col("html")))).first()[0] == 5 * 200_000 - 1
+
+
+PIECES = ["<", ">", "<script", "<SCRIPT>", "</script>", "</Script>", "<style a>", "</style>", "<!--", "-->", "x", " ", "İ", "é\n"]
+
+
+def test_marks_in_any_order_are_removed_as_by_the_patterns(spark):
+    rng = random.Random(11)
+    pages = ["".join(rng.choices(PIECES, k=rng.randint(0, 14))) for _ in range(1500)]
+    df = spark.createDataFrame([(p,) for p in [*pages, None]], "html string")
+    plain = F.col("html")
+    for pattern in html.REMOVED:
+        plain = F.regexp_replace(plain, pattern, " ")
+    plain = F.trim(F.regexp_replace(plain, html.BLANKS, " "))
+    rows = df.select("html", plain.alias("want"), html.html_text(F.col("html")).alias("got")).collect()
+    assert [r for r in rows if r["got"] != r["want"]] == []
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<" * 1_000_000, "<script" * 150_000, "<script>" * 120_000, "<style>" * 150_000, "<!--" * 250_000,
+     "<script" * 150_000 + "</script>", "<script>" * 120_000 + "</script><" + "<style" * 9_000 + "</style>"],
+)
+def test_unclosed_marks_take_linear_time(spark, page):
+    df = spark.createDataFrame([(page,)], "html string")
+    start = time.monotonic()
+    assert df.select(F.length(html.html_text(F.col("html"))).alias("n")).first()["n"] >= 0
+    assert time.monotonic() - start < 10

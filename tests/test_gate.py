@@ -191,7 +191,7 @@ def test_every_message_is_parsed_and_normalised_once(messages, plan):
         chunk_ops.ingest_summary(messages),
         chunk_ops.chunk_records(resolved),
         routing.quarantine(resolved),
-        search.find_by_trace(resolved, "t"),
+        search.find_by_trace(messages, "t"),
     ):
         text = plan(df)
         assert text.count("parseJson") == 1
@@ -199,6 +199,12 @@ def test_every_message_is_parsed_and_normalised_once(messages, plan):
         assert "Exchange" not in text
 
 
+def test_a_trace_is_found_in_rejected_messages_too(spark):
+    rows = [("bad", b'{"trace_id":"t","bad":1}'), ("other", b'{"trace_id":"u"}'), ("list", b'["t"]'), ("text", b"t"), ("none", b"null")]
+    df = spark.createDataFrame(rows, "message_id string, data binary")
+    assert search.find_by_trace(df, "t").collect() == [("bad", "t")]
+
+
 def test_contract_can_come_from_a_stream(spark):
     contract = Contract.from_stream(
         io.StringIO('{"type":"object","required":["it\'s"],"properties":{"it\'s":{"type":"boolean"}}}')
