@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docgate.functions.sqltext import quoted
+
 
 def read_objects(spark: SparkSession, prefix: str, glob: str | None = None) -> DataFrame:
     """``name, content_type, content, length`` of every object below ``prefix``.
@@ -19,7 +21,8 @@ def read_objects(spark: SparkSession, prefix: str, glob: str | None = None) -> D
     files = reader.load(prefix)
     root = prefix.split("://", 1)[-1].rstrip("/") + "/"
     return files.where(~F.col("path").endswith("/")).select(
-        F.substring_index("path", root, -1).alias("name"),
+        # After the first occurrence: the prefix may turn up again further down.
+        F.expr(f"substring(path, locate({quoted(root)}, path) + {len(root)})").alias("name"),
         F.lit(None).cast("string").alias("content_type"),
         F.col("path").alias("source_url"),
         "content",

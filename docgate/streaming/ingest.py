@@ -1,9 +1,10 @@
 """Streaming ingest: gate every micro-batch, store its chunks, park its rejects.
 
 A batch whose chunks cannot be written fails, and the restarted query delivers it again from the
-checkpoint. A reject never bounces: if even the quarantine write fails, that is logged and the
-batch is committed all the same. Each batch overwrites a folder of its own, so a batch that is
-delivered twice leaves the same rows as one delivered once.
+checkpoint. So does one whose rejects cannot be parked, after a second try; a caller who would
+rather lose rejects than wait sets ``lose_rejects``. Each batch of a query overwrites a folder of
+its own, so a batch that is delivered twice leaves the same rows as one delivered once, and a query
+with a new checkpoint does not touch what an earlier one stored.
 """
 
 from __future__ import annotations
@@ -24,14 +25,22 @@ from docgate.session import spread
 
 logger = logging.getLogger(__name__)
 
+# The property under which Spark keeps the id of the streaming query that runs a job.
+_QUERY_ID = "sql.streaming.queryId"
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
 def folder_sink(path: str) -> BatchSink:
-    """Write each batch to ``path/batch_id=<n>``, replacing an earlier attempt at it."""
+    """Write each batch to a folder of its query and number, replacing an earlier attempt at it.
+
+    The query's id lives in its checkpoint: a restart keeps it. Batches that are handled outside
+    a stream count as one query.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        query = df.sparkSession.sparkContext.getLocalProperty(_QUERY_ID) or "none"
+        df.write.mode("overwrite").parquet(f"{path}/query_id={query}/batch_id={batch_id}")
 
     return write
 
@@ -47,6 +56,8 @@ class StreamingIngest:
     overlap: int = CHUNK_OVERLAP
     # Drop redelivered copies of a message inside a batch.
     drop_duplicates: bool = False
+    # Commit a batch although its rejects could not be parked.
+    lose_rejects: bool = False
 
     def process_batch(self, messages: DataFrame, batch_id: int) -> None:
         if self.drop_duplicates:
@@ -67,13 +78,23 @@ class StreamingIngest:
         try:
             self.on_accept(chunk_records(checked, self.size, self.overlap), batch_id)
             parked = quarantine(checked).withColumn("quarantined_at", F.current_timestamp())
-            try:
-                self.on_quarantine(parked, batch_id)
-            except Exception:
-                logger.exception("quarantine of batch %d failed; its rejects are dropped", batch_id)
+            self._park(parked, batch_id)
         finally:
             checked.unpersist()
 
+    def _park(self, parked: DataFrame, batch_id: int) -> None:
+        try:
+            self.on_quarantine(parked, batch_id)
+            return
+        except Exception:
+            logger.exception("quarantine of batch %d failed, trying once more", batch_id)
+        try:
+            self.on_quarantine(parked, batch_id)
+        except Exception:
+            if not self.lose_rejects:
+                raise
+            logger.exception("quarantine of batch %d failed again; its rejects are lost", batch_id)
+
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Start on a stream of messages; without a trigger, take what is there and stop."""
         writer = messages.writeStream.foreachBatch(self.process_batch)

@@ -85,7 +85,7 @@ def test_ingest(spark):
         ("m1", "ok", 1, ""),
         ("m2", "ok", 1, "data_ingest"),
     ]
-    assert ops.ingested_documents(summary).first()["documents"] == 3
+    assert ops.ingested_documents(summary.union(summary)).first()["documents"] == 3
     stored = ops.chunks_from_events(df)
     first = stored.where("message_id = 'm0'").orderBy("chunk_no").collect()
     assert [r["chunk_text"] for r in first] == expected(text, 512, 64)

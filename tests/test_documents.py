@@ -94,3 +94,11 @@ def test_unclosed_marks_take_linear_time(spark, page):
     start = time.monotonic()
     assert df.select(F.length(html.html_text(F.col("html"))).alias("n")).first()["n"] >= 0
     assert time.monotonic() - start < 10
+
+
+def test_object_names_start_after_the_first_prefix(spark, tmp_path):
+    for folder in (tmp_path / "x.html", tmp_path / str(tmp_path).lstrip("/") / "x.html"):
+        folder.parent.mkdir(parents=True, exist_ok=True)
+        folder.write_text("x")
+    names = [r["name"] for r in read_objects(spark, str(tmp_path)).select("name").collect()]
+    assert sorted(names) == sorted(["x.html", f"{str(tmp_path).lstrip('/')}/x.html"])

@@ -58,15 +58,31 @@ def test_duplicates_inside_a_batch_can_be_dropped(spark, inbox, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/c").count() == ops.chunks_from_events(batch).count()
 
 
-def test_failing_quarantine_does_not_fail_the_batch(spark, inbox, tmp_path):
+def test_failing_quarantine_is_tried_again_and_then_fails_unless_rejects_may_be_lost(spark, inbox, tmp_path):
+    tries = []
+
     def broken(df, batch_id):
+        tries.append(batch_id)
         raise RuntimeError("quarantine is down")
 
-    ingest = StreamingIngest(folder_sink(f"{tmp_path}/c"), broken)
+    batch = read_messages(spark, inbox)
+    with pytest.raises(RuntimeError):
+        StreamingIngest(folder_sink(f"{tmp_path}/c"), broken).process_batch(batch, 0)
+    assert tries == [0, 0]
+    ingest = StreamingIngest(folder_sink(f"{tmp_path}/c"), broken, lose_rejects=True)
     ingest.start(stream_messages(spark, inbox), f"{tmp_path}/checkpoint").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/c").count() > 0
 
 
+def test_a_new_checkpoint_leaves_earlier_batches_alone(spark, inbox, tmp_path):
+    ingest = StreamingIngest(folder_sink(f"{tmp_path}/c"), folder_sink(f"{tmp_path}/q"))
+    stream = stream_messages(spark, inbox)
+    ingest.start(stream, f"{tmp_path}/one").awaitTermination()
+    once = spark.read.parquet(f"{tmp_path}/c").count()
+    ingest.start(stream, f"{tmp_path}/two").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/c").count() == 2 * once
+
+
 def test_failing_chunk_sink_fails_the_batch_and_a_restart_delivers_it_again(spark, inbox, tmp_path):
     def broken(df, batch_id):
         raise RuntimeError("table is down")
