@@ -14,6 +14,7 @@ from docgate.operators import documents as document_ops
 from docgate.operators import evaluation, gate, prompts, routing, search
 from docgate.plans import inputs
 from docgate.session import configure, shared_dir
+from docgate.sources.messages import publish_files, read_messages
 from docgate.streaming.ingest import StreamingIngest, folder_sink
 
 QUERY = "the and of"
@@ -32,27 +33,44 @@ def extract_html_text(spark, sf_dir):
     )
 
 
-def document_events(spark, sf_dir):
+def _page_events(spark, sf_dir):
     rows = inputs.pages(spark, sf_dir).select(
         F.col("url").alias("name"), F.col("url").alias("source_url"), F.col("html").alias("content"),
         F.lit("text/html").alias("mime"),
     )
-    events = document_ops.document_events(
+    return document_ops.document_events(
         document_ops.extract_text(rows), F.lit("2024-01-01 00:00:00").cast("timestamp")
     )
-    body = events.select(
+
+
+def document_events(spark, sf_dir):
+    body = _page_events(spark, sf_dir).select(
         F.from_json(
             F.col("data").cast("string"),
-            "trace_id string, payload struct<content: string, source_url: string>",
-        ).alias("e")
+            "trace_id string, event_type string, version string, timestamp string, "
+            "payload struct<content: string, source_url: string>",
+        ).alias("e"),
+        "charset",
     )
     return body.select(
         F.col("e.trace_id").alias("trace_id"),
         F.col("e.payload.source_url").alias("source_url"),
         F.md5("e.payload.content").alias("content_md5"),
+        F.col("e.event_type").alias("event_type"),
+        F.col("e.version").alias("version"),
+        F.col("e.timestamp").alias("timestamp"),
+        "charset",
     )
 
 
+def published_documents(spark, sf_dir):
+    """The pages as events, published as message files, read back, gated and counted."""
+    configure(spark)
+    inbox = f"{shared_dir(spark)}/inbox-{uuid.uuid4().hex}"
+    publish_files(_page_events(spark, sf_dir), inbox)
+    return chunk_ops.ingested_documents(chunk_ops.ingest_summary(read_messages(spark, inbox)))
+
+
 def chunks(spark, sf_dir):
     return inputs.chunks(spark, sf_dir).select("doc_id", "chunk_no", "chunk_text")
 
@@ -211,6 +229,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mime_type,
         extract_html_text,
         document_events,
+        published_documents,
         chunks,
         chunks_from_events,
         batch_ingest,

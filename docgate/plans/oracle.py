@@ -260,8 +260,11 @@ ORACLE: dict[str, str] = {
         _HTML, "SELECT page_id, md5(text) AS text_md5, length(text)::BIGINT AS text_len FROM page_text"
     ),
     "document_events": _with(
-        _HTML, "SELECT url AS trace_id, url AS source_url, md5(text) AS content_md5 FROM page_text"
+        _HTML, "SELECT url AS trace_id, url AS source_url, md5(text) AS content_md5, "
+        "'data_ingest' AS event_type, '1.0' AS version, "
+        "'2024-01-01T00:00:00.000000+00:00' AS timestamp, 'utf-8' AS charset FROM page_text"
     ),
+    "published_documents": "SELECT count(DISTINCT url) AS documents FROM pages WHERE html IS NOT NULL",
     "chunks": _with(_CHUNKS, "SELECT doc_id, chunk_no, chunk_text FROM chunks"),
     "chunks_from_events": _on_messages(
         "SELECT message_id, doc_id, chunk_no, chunk_text, source_url, '{}' AS embedding FROM event_chunks"
