@@ -43,6 +43,7 @@ _SYNTAX = (
              WHEN NOT _is_json THEN '{NOT_JSON}'
              WHEN btrim(_text, ' \\t\\n\\r') = 'null' THEN '{EMPTY}' END AS _code""",
 )
+# The messages of the early stages.
 _ERRORS = f"""CASE WHEN _code IS NULL THEN _violations ELSE array(named_struct(
     'path', '$', 'code', _code, 'message',
     CASE _code WHEN '{UNDECODABLE}' THEN concat('payload is not valid ', _charset)
@@ -97,7 +98,7 @@ def reasons(errors: Column | str = "errors") -> Column:
 
 
 def rendered(errors: Column | str = "errors") -> Column:
-    """One line per message for logs."""
+    """One line per message for logs; the two leading texts are fixed values."""
     return F.when(F.size(errors) == 0, "ACCEPTED (enqueued)").otherwise(
         F.concat(F.lit("REJECTED — "), F.array_join(reasons(errors), "; "))
     )

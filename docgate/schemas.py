@@ -10,16 +10,9 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 _STR, _TS, _DBL = T.StringType(), T.TimestampType(), T.DoubleType()
-_STRINGS = T.ArrayType(_STR)
 
 ERROR = _schema(("path", _STR), ("code", _STR), ("message", _STR))
 MESSAGES = _schema(("message_id", _STR), ("data", T.BinaryType()), ("charset", _STR))
-GATED = _schema(
-    ("message_id", _STR),
-    ("status", _STR),
-    ("canonical", _STR),
-    ("errors", T.ArrayType(ERROR)),
-)
 CHUNKS = _schema(
     ("doc_id", _STR),
     ("chunk_no", T.IntegerType()),
@@ -28,17 +21,5 @@ CHUNKS = _schema(
     ("ingested_at", _TS),
     ("embedding", _STR),
 )
-QUARANTINE = _schema(
-    ("message_id", _STR), ("reason", _STR), ("data", T.BinaryType()), ("quarantined_at", _TS)
-)
-QUESTIONS = _schema(("question_id", T.LongType()), ("question", _STR))
-ANSWERS = _schema(("question", _STR), ("answer", _STR), ("expected_terms", _STRINGS))
-EVALUATED = _schema(
-    ("question", _STR),
-    ("answer", _STR),
-    ("expected_terms", _STRINGS),
-    ("matched_terms", _STRINGS),
-    ("score", _DBL),
-)
 METRICS = _schema(("run_id", _STR), ("question", _STR), ("score", _DBL), ("created_at", _TS))
 SIGNALS = _schema(("reason", _STR), ("source", _STR), ("score", _DBL), ("created_at", _TS))
