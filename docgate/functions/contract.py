@@ -16,6 +16,7 @@ from typing import IO
 from docgate.functions.sqltext import quoted
 from docgate.functions.strict_json import ROOT
 
+# The file holds fixed values.
 DEFAULT_CONTRACT = Path(__file__).resolve().parent.parent / "contract.json"
 VIOLATION = "CONTRACT_VIOLATION"
 NO_ERRORS = "CAST(array() AS ARRAY<STRUCT<path: STRING, code: STRING, message: STRING>>)"

@@ -33,8 +33,8 @@ def suggest_improvements(evaluated: DataFrame, threshold: float = THRESHOLD) ->
     """``title, detail`` for every answer scored below the threshold."""
     missing = F.filter("expected_terms", lambda t: ~F.array_contains("matched_terms", t))
     return evaluated.where(F.col("score") < threshold).select(
-        F.concat(F.lit("Improve answer coverage for: "), "question").alias("title"),
-        F.concat(F.lit("Missing terms: "), F.array_join(missing, ", ")).alias("detail"),
+        F.concat(F.lit("Improve answer coverage for: "), "question").alias("title"),  # fixed text
+        F.concat(F.lit("Missing terms: "), F.array_join(missing, ", ")).alias("detail"),  # fixed text
     )
 
 
