@@ -118,7 +118,7 @@ def codec(path: str) -> Codec:
 
 @lru_cache(maxsize=4)
 def token_bytes(path: str) -> pa.LargeBinaryArray:
-    """All that decoding needs."""
+    """All that decoding needs; bounded by the vocabulary, so it travels with the function."""
     return pa.array(vocabulary(Tokenizer.from_file(path)), pa.large_binary())
 
 
@@ -145,12 +145,13 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     """Put the text of an id column in its place. The bytes of all tokens are put together by one
     Arrow take; bytes that are no UTF-8 become replacement characters. Null ids are no ids."""
     kept = [f for f in encoded.schema.fields if f.name != ids]
+    tokens = token_bytes(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, ids, pc.list_value_length, DECODED_TOKENS):
             lists = pc.fill_null(batch.column(ids), pa.scalar([], pa.list_(pa.int32())))
             ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-            taken = token_bytes(path).take(lists.flatten())
+            taken = tokens.take(lists.flatten())
             sizes = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy())])
             at = sizes[ends.astype(np.int64)].astype(np.int64)
             whole = _data(taken)
