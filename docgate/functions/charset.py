@@ -27,13 +27,20 @@ NFC_STABLE_RANGES = (
     (0x048A, 0x052F),
     (0x05D0, 0x05EA),  # Hebrew letters
     (0x0621, 0x064A),  # Arabic letters
+    (0x0E01, 0x0E37),  # Thai, without its marks that have an order
+    (0x0E3F, 0x0E47),
+    (0x0E4C, 0x0E5B),
+    (0x1E00, 0x1EFF),  # Vietnamese and other Latin letters with marks
     (0x2010, 0x2027),  # dashes, quotes, bullets, ellipsis
     (0x2030, 0x205E),
     (0x20A0, 0x20C0),  # currency
+    (0x2190, 0x2328),  # arrows, mathematics, technical signs
+    (0x232B, 0x27BF),
     (0x3001, 0x3029),  # CJK punctuation
     (0x3041, 0x3096),  # Hiragana
     (0x30A0, 0x30FF),  # Katakana
-    (0x4E00, 0x9FFF),  # CJK ideographs
+    (0x3400, 0x4DBF),  # CJK ideographs
+    (0x4E00, 0x9FFF),
     (0xAC00, 0xD7A3),  # Hangul syllables
     (0xFF01, 0xFFEE),  # full width forms
     (0x1F300, 0x1FAFF),  # emoji

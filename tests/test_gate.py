@@ -220,10 +220,13 @@ def test_contract_can_come_from_a_stream(spark):
     [
         '{"type":"array"}',
         '{"type":"object","minProperties":1}',
-        '{"type":"object","properties":{"a":{"minLength":1}}}',
-        '{"type":"object","properties":{"a":{"type":"integer"}}}',
+        '{"type":"object","properties":{"a":{"oneOf":[]}}}',
+        '{"type":"object","properties":{"a":{"type":"date"}}}',
         '{"type":"object","properties":{"a":{"pattern":"\\\\w"}}}',
-        '{"type":"object","properties":{"a":{"enum":[1]}}}',
+        '{"type":"object","properties":{"a":{"enum":[[1]]}}}',
+        '{"type":"object","properties":{"a":{"items":{"uniqueItems":true}}}}',
+        '{"type":"object","additionalProperties":{"type":"string"}}',
+        '{"type":"object","properties":{"a":{"maximum":Infinity}}}',
     ],
 )
 def test_unsupported_contracts_fail_when_compiled(text):
@@ -231,6 +234,46 @@ def test_unsupported_contracts_fail_when_compiled(text):
         Contract.from_stream(io.StringIO(text))
 
 
+# Rule of member "a" -> values that keep it, and (value, path of the error) for those that do not.
+KEYWORDS = {
+    '{"type":"integer"}': (["1", "-2.0", "1e3", "123456789012345678901"], [("1.5", ""), ("true", ""), ('"1"', "")]),
+    '{"type":"number"}': (["1", "1.5", "1e300"], [("true", ""), ("null", ""), ('"1"', "")]),
+    '{"type":["string","null"]}': (['"x"', "null"], [("1", ""), ("{}", "")]),
+    '{"minLength":2,"maxLength":3}': (['"ab"', '"\U0001F600\U0001F600\U0001F600"', "1"], [('"a"', ""), ('"abcd"', "")]),
+    '{"minimum":0,"maximum":1.5}': (["0", "1.5", '"x"', "true"], [("-1", ""), ("1.51", "")]),
+    '{"exclusiveMinimum":0,"exclusiveMaximum":2}': (["1"], [("0", ""), ("2.0", "")]),
+    '{"enum":[1,true,null,"x"]}': (["1", "1.0", "true", "null", '"x"'], [("false", ""), ('"1"', ""), ("[]", ""), ("{}", "")]),
+    '{"const":false}': (["false"], [("0", ""), ("true", "")]),
+    '{"required":["b"],"additionalProperties":false,"properties":{"b":{"properties":{"c":{"type":"string"}}}}}': (
+        ['{"b":{"c":"x","d":1}}', '{"b":1}', "7"],
+        [("{}", ""), ('{"b":1,"z":1}', ""), ('{"b":{"c":1}}', ".b.c")],
+    ),
+    '{"items":{"type":"object","required":["k"],"properties":{"k":{"items":{"maximum":5}}}},"minItems":1,"maxItems":2}': (
+        ['[{"k":[1,5]},{"k":"x"}]', '"x"', '[{"k":[]}]'],
+        [("[]", ""), ('[{"k":1},{"k":1},{"k":1}]', ""), ('[{"k":[]},3]', ".1"), ('[{"k":[]},{}]', ".1"), ('[{"k":[1,2,6]}]', ".0.k.2")],
+    ),
+}
+
+
+def test_contract_keywords(spark):
+    for rule, (good, bad) in KEYWORDS.items():
+        contract = Contract.from_stream(io.StringIO('{"type":"object","properties":{"a":%s}}' % rule))
+        cases = [(v, []) for v in good] + [(v, [("$.a" + p, "CONTRACT_VIOLATION")]) for v, p in bad]
+        rows = [(n, ('{"a":%s}' % v).encode()) for n, (v, _) in enumerate(cases)]
+        rows.append((len(rows), b"{}"))  # a member that is not there breaks no rule
+        df = spark.createDataFrame(rows, "message_id int, data binary")
+        got = {r["message_id"]: [(e["path"], e["code"]) for e in r["errors"]] for r in gate.validate(df, contract).collect()}
+        assert [got[n] for n in range(len(rows))] == [expected for _, expected in cases] + [[]], rule
+
+
+def test_errors_of_a_nested_contract_come_by_path(spark):
+    text = """{"type":"object","required":["z"],"properties":{"b":{"type":"string"},
+        "a":{"type":"object","required":["y"],"properties":{"q":{"minimum":1},"l":{"items":{"type":"integer"}}}}}}"""
+    df = spark.createDataFrame([(b'{"b":1,"a":{"q":0,"l":[1,"x",2.5]}}',)], "data binary")
+    (row,) = gate.validate(df, Contract.from_stream(io.StringIO(text))).collect()
+    assert [e["path"] for e in row["errors"]] == ["$", "$.a", "$.a.l.1", "$.a.l.2", "$.a.q", "$.b"]
+
+
 def test_contract_is_compiled_once_per_content():
     assert Contract.from_path() is Contract.from_path()
 
