@@ -29,6 +29,7 @@ from docgate.llm.common import by_bytes, by_size, texts_of, unseen
 
 CACHED_FRAGMENTS = 200_000
 DECODED_TOKENS = 1 << 18
+JOINED_FRAGMENTS = 256  # new fragments in one text for the tokenizer
 ENCODED_BYTES = 2 << 20  # text encoded at once: fragments and ids are small Python objects
 SPACES = b" \t\n\r\x0b\x0c"
 # The three-byte white-space characters of Unicode.
@@ -69,6 +70,8 @@ class Codec:
             self.joined[list(token[:-1]), list(token[1:])] = True
         self.special = sorted(s.encode() for s in special)
         self.fragment = re.compile(self._pattern())
+        self.apart = re.compile(self._pattern_apart(), re.DOTALL)
+        self.sizes = np.array([len(token) for token in self.tokens])
         self.known: dict[bytes, bytes] = {}  # ids of fragments as 32-bit numbers
         self.older: dict[bytes, bytes] = {}  # those of the generation before
 
@@ -87,6 +90,17 @@ class Codec:
         more = b"(?:(?:%b)%b+%b*)*" % (b"|".join(go_on), white, other)
         return b"%b*%b+%b|%b+" % (white, other, more, white)
 
+    def _pattern_apart(self) -> bytes:
+        """Matches fragments that begin and end so that there is always a cut between two of them.
+        Nothing does if a special token holds white space and might arise from putting together."""
+        if any(byte in SPACES for special in self.special for byte in special):
+            return rb"(?!)"
+        spaces = list(SPACES)
+        ends = [b for b in range(256) if b not in SPACES and not self.joined[b, spaces].any()]
+        end = b"[" + b"".join(b"\\x%02x" % b for b in ends) + b"]" if ends else rb"(?!)"
+        wide = rb"(?<!\xc2[\x85\xa0])(?<!" + WIDE_SPACE + rb")"
+        return b"[" + re.escape(SPACES) + b"].*" + end + wide
+
     def fragments(self, text: str) -> list[bytes]:
         """Special tokens, and the fragments between them."""
         data = text.encode()
@@ -105,10 +119,30 @@ class Codec:
         new = unseen(chain.from_iterable(parts), self.known)
         self.known.update((f, self.older[f]) for f in new if f in self.older)
         new = [f for f in new if f not in self.older]
-        done = self.tokenizer.encode_batch_fast([f.decode() for f in new], add_special_tokens=False)
-        self.known.update((f, array("i", e.ids).tobytes()) for f, e in zip(new, done))
+        self.learn(new)
         return [b"".join(map(self.known.__getitem__, part)) for part in parts]
 
+    def learn(self, new: list[bytes]) -> None:
+        """Keep the ids of new fragments."""
+        single, apart = [], []
+        for fragment in new:
+            (apart if self.apart.fullmatch(fragment) else single).append(fragment)
+        groups = [apart[n : n + JOINED_FRAGMENTS] for n in range(0, len(apart), JOINED_FRAGMENTS)]
+        for group, ids in zip(groups, self._ids([b"".join(group) for group in groups])):
+            tokens = np.cumsum(self.sizes[np.frombuffer(ids, np.int32)])
+            ends = np.cumsum([len(fragment) for fragment in group])
+            at = np.searchsorted(tokens, ends)
+            if not np.array_equal(tokens[at], ends):  # the tokenizer did not cut there
+                single += group
+                continue
+            cuts = [0, *(4 * (at + 1)).tolist()]
+            self.known.update((f, ids[a:b]) for f, a, b in zip(group, cuts, cuts[1:]))
+        self.known.update(zip(single, self._ids(single)))
+
+    def _ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        done = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return (array("i", e.ids).tobytes() for e in done)
+
 
 @lru_cache(maxsize=4)
 def codec(path: str) -> Codec:
