@@ -1,7 +1,9 @@
 """Token, line, chat and quality operators against plain versions."""
 
 import hashlib
+import random
 import re
+from array import array
 from zlib import crc32
 
 import public_tokenizers
@@ -154,3 +156,14 @@ def test_classifier_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
     model = subword_classifier.fit(frame, labels)
     assert subword_classifier.score(frame, model).first()["score"] == 0.5
+
+
+def test_fragments_put_together_have_the_ids_of_whole_texts():
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\u0085", "\u00a0", "\u2003", "\u3000", "a", "the", "'s",
+             "1", "23", ".", "...", "!", "é", "漢字", "🙂", "\x00", "\x1c", "\u0301", "<|endoftext|>", "_"]
+    some = random.Random(3)
+    texts = ["".join(some.choices(parts, k=some.randint(0, 60))) for _ in range(4000)]
+    own = bpe.Codec(BYTES)
+    whole = own.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert own.encode(texts) == [array("i", e.ids).tobytes() for e in whole]
+    assert sum(own.apart.fullmatch(f) is not None for f in own.known) > 1000
