@@ -10,7 +10,8 @@ confirmed on the full sets. Components of confirmed links give the result.
 A group's members compare themselves through posting lists, the most typical member first; what is
 already in its component needs no further comparison, so families of copies cost about one pass.
 A group larger than ``BLOCK`` is cut into blocks that all hold its most copied member; members that
-remain outside this member's component then meet every block.
+remain outside this member's component then meet every block, each of them by itself: there a
+member is passed over only if nothing that it meets is outside the first one's component.
 
 Documents without words have an empty set and are linked with nothing; null texts are empty. Equal
 rows are of one class. Rows that share an id are one document for linking. Other columns are not
@@ -199,9 +200,11 @@ def spanning_links(
     _, part = np.unique(np.array(labels), return_inverse=True)
     found = []
     order = sorted(np.flatnonzero(pivots), key=lambda m: -family.typical[m])
+    asked = ~np.array(pivots, bool)  # these compare themselves with nothing
     for n, member in enumerate(order):
-        if n and part[member] == part[order[0]]:
-            continue  # every other member outside this component is compared with it
+        joined = part == part[order[0]]
+        if n and joined[member] and joined[asked].all():
+            continue  # every member outside this component is compared with it
         for other in family.linked(member, percent):
             if part[other] != part[member]:
                 found.append((ids[member], ids[other]))

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docgate.llm import embedding_dedup, suffix_dedup, superminhash
 from docgate.llm.components import components
@@ -79,6 +80,44 @@ def test_superminhash_equals_brute_force(spark, monkeypatch, block):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_members_joined_before_still_meet_those_that_do_not_ask():
+    far = np.arange(1000, 1100, dtype=np.uint64)
+    first, bridge, other = far, far + np.uint64(8), far + np.uint64(16)
+    sets, labels = [first, first, first, bridge, other], [1, 1, 1, 1, 9]
+    links = superminhash.spanning_links([1, 2, 3, 4, 9], sets, labels, [True] * 4 + [False], 85)
+    assert links == [(4, 9)]
+
+
+def test_a_bridge_between_clusters_in_blocks_is_found(spark, monkeypatch):
+    """One block holds a cluster away from the center, and in it the one text that is linked with
+    a text of the center's cluster, which is in another block."""
+    monkeypatch.setattr(superminhash, "BLOCK", 7)
+    rng = random.Random(1)
+    words = [f"w{n}" for n in range(3000)]
+
+    def edited(text, *places):
+        return [f"new{p}" if p in places else w for p, w in enumerate(text)]
+
+    center = [rng.choice(words) for _ in range(120)]
+    near = edited(center, 5, 15)
+    bridge = edited(near, 25, 35)
+    away = edited(bridge, 45, 55)
+    clusters = [
+        [away, *(edited(away, p) for p in (65, 70, 75, 80)), bridge], [near],
+        [center, center, center, *(edited(center, p) for p in range(60, 118, 8))],
+    ]
+    block = F.pmod(F.xxhash64("id"), F.lit(3)).alias("block")
+    ids = {n: [] for n in range(3)}
+    for r in spark.range(200).select("id", block).collect():
+        ids[r["block"]].append(r["id"])
+    rows = [(ids[n].pop(), " ".join(t)) for n, own in enumerate(clusters) for t in own]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = superminhash.near_duplicates(docs).collect()
+    expected = brute_near(rows, 3, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
+    assert len({component for _, component in expected.values()}) == 1
+
+
 def test_superminhash_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert superminhash.near_duplicates(docs).count() == 0
