@@ -3,7 +3,7 @@
 Every stage takes all that the stage before kept, written as Parquet and read again. All but the
 last return the columns of ``documents``; the last adds the token ids of the text and their count.
 Null texts are empty documents for all stages. Rows are kept or dropped as wholes, except for the
-third stage, which cuts repeated passages out of texts.
+third stage, which cuts repeated passages out of texts, and the fourth, which may repeat rows.
 """
 
 from __future__ import annotations
@@ -49,8 +49,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample in which source, language and form have the tempered shares."""
-    return mixing.sample(docs.select(*COLUMNS), MIX).where("_sampled").select(*COLUMNS)
+    """Source, language and form get the tempered shares: documents of what there is too little of
+    come several times, with the same id."""
+    return mixing.repeated(docs.select(*COLUMNS), MIX).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,9 @@ small ones. The quotient of fitted and present share is a cell's weight; a docum
 the weight times a factor, at most one, and the factor is calibrated so that the expected tokens
 are ``keep`` of all. The draw is a hash of the id, so it is the same in every run.
 
+Where a chance is cut at one, ``sample`` stays short of the targets. ``repeated`` reaches them at any
+``keep``: a document comes ``weight * keep`` times, as whole copies and one draw for the rest.
+
 Only DataFrame operations are used. Work on documents is one aggregation and one join with the
 cells; raking works on the table of cells, whose rows are spread by margin. Spark broadcasts that
 table only where it is small.
@@ -118,6 +121,22 @@ def sample(docs: DataFrame, s: Settings = Settings(), text: str = "text") -> Dat
     )
 
 
+def repeated(docs: DataFrame, s: Settings = Settings(), text: str = "text") -> DataFrame:
+    """Documents as often as drawn, with _source, _lang, _topic, _tokens, _weight and _expected, the
+    expected number of copies: the expected tokens are ``keep`` of all, in the fitted shares."""
+    rows = placed(docs, text)
+    names = [f"_{m}" for m in MARGINS]
+    cells = written(rows.groupBy(*names).agg(F.sum("_tokens").alias("tokens")), "cells")
+    fitted = raked(cells.toDF(*MARGINS, "tokens"), s)
+    weights = written(fitted.select(*MARGINS, F.col("fitted") / F.col("share")), "weights")
+    expected = F.coalesce(F.col("_weight") * F.lit(s.keep), F.lit(1.0))
+    rows = rows.join(weights.toDF(*names, "_weight"), names, "left").withColumn("_expected", expected)
+    whole = F.floor("_expected")
+    more = draw(F.col("doc_id"), s.seed) < F.col("_expected") - whole
+    copies = (whole + more.cast("int")).cast("int")
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("_copy")
+
+
 def sql(docs: str = "documents", s: Settings = Settings()) -> str:
     """CTEs in DuckDB's SQL whose last one, ``sampled``, is the result of ``sample``."""
     words = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"

@@ -83,6 +83,26 @@ def test_mixing_reaches_its_margins(spark):
     assert mixing.sample(docs.limit(0)).count() == 0
 
 
+def test_the_mixed_stage_has_the_tempered_shares(spark):
+    rows = [
+        (n, "w " * (70 + n % 100), ("de", "fr")[n % 2] if n % 20 == 0 else "en", f"s{min(n % 9, 3)}", 1)
+        for n in range(4000)
+    ]
+    rows += [(n, "w " * 20, "en", "s1", 1) for n in range(5000, 5200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = mixing.placed(corpus_pipeline.mixed(spark, docs, DATA))
+    tokens = lambda df, m: dict(map(tuple, df.groupBy(f"_{m}").agg(F.sum("_tokens")).collect()))
+    for margin in mixing.MARGINS:
+        before, after = tokens(mixing.placed(docs), margin), tokens(found, margin)
+        total, kept = sum(before.values()), sum(after.values())
+        goals = {k: (v / total) ** corpus_pipeline.MIX.temper for k, v in before.items()}
+        norm = sum(goals.values())
+        assert abs(kept / total - corpus_pipeline.MIX.keep) < 0.02
+        assert all(abs(after[k] / kept - goal / norm) < 0.02 for k, goal in goals.items())
+    assert "Python" not in found._jdf.queryExecution().toString()
+    assert corpus_pipeline.mixed(spark, docs.limit(0), DATA).count() == 0
+
+
 def test_mixing_is_native(spark):
     df = catalog.op5_mixing(spark, DATA)
     assert "Python" not in df._jdf.queryExecution().toString()
