@@ -40,7 +40,7 @@ class Settings:
     max_rows: int = 3000
     buckets: int = 1 << 16
     dim: int = 8
-    shortest: int = 3
+    shortest: int = 2
     longest: int = 4
     epochs: int = 5
     batch: int = 32

@@ -151,6 +151,12 @@ def test_classifier_separates_a_held_out_fold(spark):
     assert scored.where("score IS NULL OR score < 0 OR score > 1").count() == 0
 
 
+def test_features_are_the_word_and_its_grams_of_two_to_four_characters():
+    s = subword_classifier.Settings()
+    grams = ["=ab", "<a", "ab", "b>", "<ab", "ab>", "<ab>"]
+    assert subword_classifier.features("ab", s) == [crc32(g.encode()) % s.buckets for g in grams]
+
+
 def test_classifier_without_labels(spark):
     frame = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
