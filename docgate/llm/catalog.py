@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import bpe, chat, embedding_dedup, line_quality, mixing, subword_classifier, suffix_dedup, superminhash
-from docgate.llm import token_count, warc
+from docgate.llm import bpe, chat, embedding_dedup, hard_negatives, line_quality, mixing, page_diff
+from docgate.llm import subword_classifier, suffix_dedup, superminhash, token_count, warc, whitening
 from docgate.llm.common import scratch, table, written
 
 MAX_TOKENS = 2048
@@ -102,14 +102,30 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.main_text(table(spark, sf_dir, "pages"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_bpe, op2_token_counts, op3_line_quality, op4_embeddings, op5_mixing, op6_suffix,
-        op7_chat, op8_warc, op9_quality, op10_superminhash,
+        op7_chat, op8_warc, op9_quality, op10_superminhash, op11_page_diff, op12_hard_negatives,
+        op13_whitening,
     )
 }
 ORACLE: dict[str, str] = {
     "op5_mixing": f"WITH {mixing.sql()}\n"
     "SELECT doc_id, _topic AS topic, _tokens AS n_tokens, round(_probability, 6) AS probability, "
     "_sampled AS sampled FROM sampled",
+    "op12_hard_negatives": hard_negatives.sql(),
 }
