@@ -14,8 +14,9 @@ from docgate.operators import documents as document_ops
 from docgate.operators import evaluation, gate, prompts, routing, search
 from docgate.plans import inputs
 from docgate.session import configure, shared_dir
-from docgate.sources.messages import publish_files, read_messages
+from docgate.sources.messages import publish_files, read_messages, stream_messages
 from docgate.streaming.ingest import StreamingIngest, folder_sink
+from docgate.streaming.pull import BoundedPull
 
 QUERY = "the and of"
 TRACE = "doc-23"  # of a message without a version, which the contract rejects
@@ -223,6 +224,24 @@ def retraining_signals(spark, sf_dir):
     return evaluation.signal_json(signals.drop("created_at"))
 
 
+def bounded_pull(spark, sf_dir):
+    """All messages published as ten files, pulled file by file until the trace is met."""
+    configure(spark)
+    work = f"{shared_dir(spark)}/pull-{uuid.uuid4().hex}"
+    publish_files(inputs.messages(spark, sf_dir).repartitionByRange(10, "message_id"), f"{work}/inbox")
+    pull = BoundedPull(TRACE, f"{work}/found", max_batches=10, seconds=3600)
+    return pull.run(stream_messages(spark, f"{work}/inbox", files_per_batch=1), f"{work}/checkpoint")
+
+
+def fresh_sources(spark, sf_dir):
+    """The documents against an earlier state that lacks some and has other texts of some."""
+    docs = inputs.table(spark, sf_dir, "documents")
+    text = F.when(F.col("doc_id") % 7 == 3, F.concat("text", F.lit(" (draft)"))).otherwise(F.col("text"))
+    earlier = docs.where(F.col("doc_id") % 10 != 4).withColumn("text", text)
+    snapshots = evaluation.content_snapshot(earlier), evaluation.content_snapshot(docs)
+    return evaluation.fresh_sources(evaluation.fresh_documents(*snapshots))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -255,5 +274,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         suggest_improvements,
         metric_records,
         retraining_signals,
+        bounded_pull,
+        fresh_sources,
     )
 }

@@ -400,4 +400,12 @@ signals AS (
         "SELECT reason, source, score, "
         "json_object('reason', reason, 'source', source, 'score', score)::VARCHAR AS body FROM signals",
     ),
+    "fresh_sources": """
+WITH fresh AS (
+  SELECT source, doc_id % 10 = 4 AS new, doc_id % 7 = 3 AND text IS NOT NULL AS changed FROM documents
+)
+SELECT source, count(*) FILTER (new) AS n_new, count(*) FILTER (changed AND NOT new) AS n_changed
+FROM fresh WHERE new OR changed GROUP BY source""",
 }
+# The same message, whether all are searched or only as many as it takes.
+ORACLE["bounded_pull"] = ORACLE["find_by_trace"]

@@ -61,3 +61,23 @@ def test_signals_keep_null_scores(spark, tmp_path):
     ]
     (fresh,) = [b for b in bodies if b["score"] is None]
     assert fresh["source"] == "s" and "score" in fresh and fresh["created_at"]
+
+
+def test_suggestions_take_linear_time_and_keep_null_answers(spark):
+    words = [f"word{n}" for n in range(5000)]
+    df = evaluated(spark, ("q", " ".join(words[:2500]), words), ("n", None, ["a", None]))
+    details = {r["title"][-1]: r["detail"] for r in ops.suggest_improvements(df).collect()}
+    missing = [w for w in words if w not in " ".join(words[:2500])]
+    assert details == {"q": "Missing terms: " + ", ".join(missing), "n": "Missing terms: a"}
+
+
+def test_fresh_documents(spark):
+    layout = "doc_id bigint, source string, text string"
+    before = [(1, "a", "x"), (2, "a", "y"), (3, "b", None), (4, "b", "gone"), (5, "c", "two"), (5, "c", "texts"), (None, "d", "n")]
+    after = [(1, "a", "x"), (2, "a", "z"), (3, "b", ""), (5, "c", "two"), (6, "c", "x"), (6, "c", "x"), (None, "d", "n")]
+    snapshots = [ops.content_snapshot(spark.createDataFrame(rows, layout)) for rows in (before, after)]
+    fresh = ops.fresh_documents(*snapshots)
+    assert sorted(map(tuple, fresh.collect())) == [(2, "a", "changed"), (3, "b", "changed"), (6, "c", "new")]
+    assert sorted(map(tuple, ops.fresh_sources(fresh).collect())) == [("a", 0, 1), ("b", 0, 1), ("c", 1, 0)]
+    assert ops.fresh_documents(snapshots[1], snapshots[1]).isEmpty()
+    assert ops.fresh_documents(snapshots[0].limit(0), snapshots[1]).count() == 6
