@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from operator import eq
 from zlib import crc32
 
@@ -28,7 +29,9 @@ from pyspark.sql import types as T
 
 from docgate.llm.common import WORD, by_bytes, texts_of, unseen
 
-CACHED_WORDS = 300_000
+# What is kept of words in a worker, in each of two generations.
+CACHED_WORDS = 150_000
+CACHED_BYTES = 8 << 20
 DOUBLED = 0  # the row of pairs of a word with itself
 _WORDS = re.compile(WORD)
 
@@ -151,26 +154,57 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[n
     return np.frombuffer(model["gains"], "<f4").astype(float), model["constant"]
 
 
+class _Known:
+    """What words add, and the number of their features, in two generations: when the younger is full
+    it becomes the older, and words that are not used again go with the one before."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, complex] = {}
+        self.old: dict[str, complex] = {}
+        self.size = 0
+
+    def of(self, words: list[str], gain_of, s: Settings) -> dict[str, complex]:
+        """A dictionary that has all of a text's words."""
+        if len(self.young) >= CACHED_WORDS or self.size >= CACHED_BYTES:
+            self.old, self.young, self.size = self.young, {}, 0
+        for word in unseen(words, self.young):
+            found = self.old.get(word)
+            if found is None:
+                rows = features(word, s)
+                found = complex(sum(map(gain_of, rows)), len(rows))
+            self.young[word] = found
+            self.size += len(word)
+        return self.young
+
+
+_MODELS: dict[bytes, _Known] = {}
+
+
+def _kept(model: bytes) -> _Known:
+    """The words that this worker knows under a model; those of other models are forgotten."""
+    if model not in _MODELS:
+        _MODELS.clear()
+        _MODELS[model] = _Known()
+    return _MODELS[model]
+
+
 def score(
     docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), text: str = "text",
     name: str = "score",
 ) -> DataFrame:
     """Append the probability of class 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    name_of_model = blake2b(model[0].tobytes(), digest_size=16).digest() + repr((model[1], s)).encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains, constant = shared.value
         gain_of = gains.tolist().__getitem__
-        known: dict[str, complex] = {}  # what a word adds, and the number of its features
+        words_known = _kept(name_of_model)
         for batch in by_bytes(batches, text):
             odds = []
             for t in texts_of(batch, text):
                 words = _WORDS.findall(t)
-                if len(known) > CACHED_WORDS:
-                    known.clear()
-                for word in unseen(words, known):
-                    rows = features(word, s)
-                    known[word] = complex(sum(map(gain_of, rows)), len(rows))
+                known = words_known.of(words, gain_of, s)
                 pairs = doubled(words)
                 total = sum(map(known.__getitem__, words), complex(pairs * gains[DOUBLED], pairs))
                 odds.append(constant + (total.real / total.imag if words else 0.0))
