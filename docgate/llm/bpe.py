@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from docgate.llm.common import by_bytes, by_size, texts_of, unseen
+from docgate.llm.common import by_bytes, by_size, free, kept, texts_of, unseen
 
-CACHED_FRAGMENTS = 200_000
+CACHED_FRAGMENTS = 200_000  # in each of two generations
+CACHED_BYTES = 24 << 20  # of fragments and ids, likewise; Python's own share comes on top
 DECODED_TOKENS = 1 << 18
 JOINED_FRAGMENTS = 256  # new fragments in one text for the tokenizer
 ENCODED_BYTES = 2 << 20  # text encoded at once: fragments and ids are small Python objects
@@ -74,6 +75,7 @@ class Codec:
         self.sizes = np.array([len(token) for token in self.tokens])
         self.known: dict[bytes, bytes] = {}  # ids of fragments as 32-bit numbers
         self.older: dict[bytes, bytes] = {}  # those of the generation before
+        self.size = 0
 
     def _pattern(self) -> bytes:
         """Matches one fragment after the other: white space, then other characters, going on
@@ -114,9 +116,10 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as 32-bit numbers one after the other."""
         parts = [self.fragments(text) for text in texts]
-        if len(self.known) > CACHED_FRAGMENTS:
-            self.known, self.older = {}, self.known
+        if len(self.known) > CACHED_FRAGMENTS or self.size > CACHED_BYTES:
+            self.known, self.older, self.size = {}, self.known, 0
         new = unseen(chain.from_iterable(parts), self.known)
+        self.size += 3 * sum(map(len, new))  # ids take about twice the bytes of a fragment
         self.known.update((f, self.older[f]) for f in new if f in self.older)
         new = [f for f in new if f not in self.older]
         self.learn(new)
@@ -144,12 +147,6 @@ class Codec:
         return (array("i", e.ids).tobytes() for e in done)
 
 
-@lru_cache(maxsize=4)
-def codec(path: str) -> Codec:
-    """Loaded once in each worker."""
-    return Codec(path)
-
-
 @lru_cache(maxsize=4)
 def token_bytes(path: str) -> pa.LargeBinaryArray:
     """All that decoding needs; bounded by the vocabulary, so it travels with the function."""
@@ -157,11 +154,13 @@ def token_bytes(path: str) -> pa.LargeBinaryArray:
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Append the token ids of a text column."""
+    """Append the token ids of a text column; a column named like them is an error. Tokenizer and
+    known fragments are loaded once in each worker."""
+    free(docs, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, text, ENCODED_BYTES):
-            packed = codec(path).encode(texts_of(batch, text))
+            packed = kept(("bpe", path), lambda: Codec(path)).encode(texts_of(batch, text))
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
             flat = pa.Array.from_buffers(
                 pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))]

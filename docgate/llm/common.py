@@ -58,10 +58,23 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
 
 
-def appended(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.RecordBatch:
-    """The named columns of a batch followed by new ones."""
-    columns = {name: batch.column(name) for name in keep} | new
-    return pa.RecordBatch.from_pydict(columns)
+def free(df: DataFrame, *names: str) -> None:
+    """An error for names of new columns that a frame has already, in any case of letters."""
+    present = {c.lower() for c in df.columns}
+    if taken := [n for n in names if n.lower() in present]:
+        raise ValueError(f"columns {taken} exist already; rename them or give other names")
+
+
+_KEPT: dict = {}
+
+
+def kept(key: object, make: Callable):
+    """What a worker keeps from task to task, under one key at a time: another key forgets it, so
+    that memory of one operator does not stay while the next one runs in the same worker."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def unseen(values: Iterable, known: dict) -> list:

@@ -7,7 +7,7 @@ rejected if it then has lost more than ``MAX_LOST`` percent of its word characte
 left, or fails the base rules on its whole text.
 
 Null texts have no words: they fail the base rules. Repeated rows are judged one by one; other
-columns are kept, and the appended ones must not exist yet.
+columns are kept; one named like an appended column is an error.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from docgate.llm.common import WORD, by_bytes, texts_of
+from docgate.llm.common import WORD, by_bytes, free, texts_of
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -124,6 +124,7 @@ _TYPES = {"int": (pa.int64(), T.LongType()), "bool": (pa.bool_(), T.BooleanType(
 
 def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """Append measures, verdict and cleaned text of every document; the given text is dropped."""
+    free(docs.drop(text), *(f.name for f in fields(Judged)))
     kept = [f for f in docs.schema.fields if f.name != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docgate.llm.common import WORD, written
+from docgate.llm.common import WORD, free, written
 
 MARGINS = ("source", "lang", "topic")
 SPACE = 2.0**32
@@ -53,7 +53,9 @@ def topic(text: str = "text", n_tokens: Column | None = None) -> Column:
 
 
 def placed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with the cell they are in and their tokens, in columns of their own."""
+    """The documents with the cell they are in and their tokens, in columns of their own; columns
+    of these names are an error, also those that ``sample`` and ``repeated`` append."""
+    free(docs, "_tokens", *(f"_{m}" for m in MARGINS), "_weight", "_probability", "_sampled", "_expected", "_copy")
     n = tokens(text)
     return docs.withColumn("_tokens", n).withColumns(
         {

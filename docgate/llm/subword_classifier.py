@@ -7,8 +7,9 @@ by stochastic gradient descent in numpy, in one task, on at most ``max_rows`` la
 number for each row of the table: that is what goes to the tasks, of fixed size.
 
 Null texts are empty, and a text without words gets the score of the classes' shares alone. Rows
-of ``labels`` without id or label are not used; of several labels of a document the larger counts.
-With no label at all every score is one half. Repeated rows and other columns are kept.
+of ``labels`` without id or with a label that is neither 0 nor 1 are not used; of several labels of a
+document the larger counts. With no label at all every score is one half. Repeated rows and other
+columns are kept; a column named like the score is an error.
 """
 
 from __future__ import annotations
@@ -27,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgate.llm.common import WORD, by_bytes, texts_of, unseen
+from docgate.llm.common import WORD, by_bytes, free, kept, texts_of, unseen
 
-# What is kept of words in a worker, in each of two generations.
+# What is kept of words in a worker, in each of two generations, and of character n-grams.
 CACHED_WORDS = 150_000
 CACHED_BYTES = 8 << 20
+CACHED_GRAMS = 200_000
 DOUBLED = 0  # the row of pairs of a word with itself
 _WORDS = re.compile(WORD)
 
@@ -51,13 +53,23 @@ class Settings:
     seed: int = 1
 
 
-def features(word: str, s: Settings) -> list[int]:
-    """Rows of a word and of its character n-grams; the ends of the word are marked."""
+def row(gram: str, s: Settings) -> int:
+    return crc32(gram.encode()) % s.buckets
+
+
+def grams(word: str, s: Settings) -> list[str]:
+    """Character n-grams of a word; its ends are marked."""
     marked, n = f"<{word}>", len(word) + 2
-    grams = [f"={word}"]
-    for width in range(s.shortest, min(s.longest, n) + 1):
-        grams += [marked[i : i + width] for i in range(n - width + 1)]
-    return [crc32(gram.encode()) % s.buckets for gram in grams]
+    return [
+        marked[i : i + width]
+        for width in range(s.shortest, min(s.longest, n) + 1)
+        for i in range(n - width + 1)
+    ]
+
+
+def features(word: str, s: Settings) -> list[int]:
+    """Rows of a word and of its character n-grams."""
+    return [row(gram, s) for gram in [f"={word}", *grams(word, s)]]
 
 
 def doubled(words: list[str]) -> int:
@@ -127,7 +139,7 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, float]:
     """Learn from the labelled documents outside the held-out fold."""
     picked = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
+        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
         .groupBy("doc_id")
         .agg(F.max("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -154,57 +166,64 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[n
     return np.frombuffer(model["gains"], "<f4").astype(float), model["constant"]
 
 
+class _Gains(dict):
+    """What a character n-gram adds; hashed when it is first asked for."""
+
+    def __init__(self, gains: list[float], s: Settings) -> None:
+        super().__init__()
+        self.gains, self.settings = gains, s
+
+    def __missing__(self, gram: str) -> float:
+        found = self[gram] = self.gains[row(gram, self.settings)]
+        return found
+
+
 class _Known:
     """What words add, and the number of their features, in two generations: when the younger is full
     it becomes the older, and words that are not used again go with the one before."""
 
-    def __init__(self) -> None:
+    def __init__(self, gains: list[float], s: Settings) -> None:
         self.young: dict[str, complex] = {}
         self.old: dict[str, complex] = {}
         self.size = 0
+        self.gains = _Gains(gains, s)
 
-    def of(self, words: list[str], gain_of, s: Settings) -> dict[str, complex]:
+    def learned(self, word: str) -> complex:
+        s = self.gains.settings
+        own = grams(word, s)
+        first = self.gains.gains[row(f"={word}", s)]
+        return complex(sum(map(self.gains.__getitem__, own), first), 1 + len(own))
+
+    def of(self, words: list[str]) -> dict[str, complex]:
         """A dictionary that has all of a text's words."""
         if len(self.young) >= CACHED_WORDS or self.size >= CACHED_BYTES:
             self.old, self.young, self.size = self.young, {}, 0
+        if len(self.gains) >= CACHED_GRAMS:
+            self.gains.clear()
         for word in unseen(words, self.young):
             found = self.old.get(word)
-            if found is None:
-                rows = features(word, s)
-                found = complex(sum(map(gain_of, rows)), len(rows))
-            self.young[word] = found
+            self.young[word] = self.learned(word) if found is None else found
             self.size += len(word)
         return self.young
 
 
-_MODELS: dict[bytes, _Known] = {}
-
-
-def _kept(model: bytes) -> _Known:
-    """The words that this worker knows under a model; those of other models are forgotten."""
-    if model not in _MODELS:
-        _MODELS.clear()
-        _MODELS[model] = _Known()
-    return _MODELS[model]
-
-
 def score(
     docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), text: str = "text",
     name: str = "score",
 ) -> DataFrame:
     """Append the probability of class 1."""
+    free(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     name_of_model = blake2b(model[0].tobytes(), digest_size=16).digest() + repr((model[1], s)).encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains, constant = shared.value
-        gain_of = gains.tolist().__getitem__
-        words_known = _kept(name_of_model)
+        words_known = kept(name_of_model, lambda: _Known(gains.tolist(), s))
         for batch in by_bytes(batches, text):
             odds = []
             for t in texts_of(batch, text):
                 words = _WORDS.findall(t)
-                known = words_known.of(words, gain_of, s)
+                known = words_known.of(words)
                 pairs = doubled(words)
                 total = sum(map(known.__getitem__, words), complex(pairs * gains[DOUBLED], pairs))
                 odds.append(constant + (total.real / total.imag if words else 0.0))

@@ -20,7 +20,7 @@ reach across documents.
 
 Null texts are empty. Rows without id are returned whole and cover nothing. Rows that share an id
 are one document for positions: what is covered in one of them is cut from all. Other columns are
-kept by ``cut``.
+kept by ``cut``; one named like a column that it appends is an error.
 """
 
 from __future__ import annotations
@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgate.llm.common import by_bytes, written
+from docgate.llm.common import by_bytes, free, kept, written
 
 LENGTH = 100
 GRAM = 20
 BUFFER = 1 << 19  # bytes hashed at once; positions in it take POSITION_BITS at most
 POSITION_BITS = np.uint64(20)
 SHARD = 1 << 17
-BUNDLE = 3 << 20
+BUNDLE = 1 << 20  # bytes sorted at once, at about 60 bytes of memory each
 STRIDES = (5, 4, 2, 1)  # bytes that one refinement may add
 
 RECORDS = "anchor bigint, context bigint, doc_id bigint, start bigint, n bigint, known boolean"
@@ -237,7 +237,7 @@ def merged(shards: list[np.ndarray], depth: int) -> np.ndarray:
     Only the order within a shard is sorted; the rest is refinement of the interleave."""
     orders = [sorted_suffixes(shard, depth) for shard in shards]
     offsets = np.cumsum([0, *(len(s) for s in shards[:-1])])
-    positions = np.concatenate([o + at for o, at in zip(orders, offsets)])
+    positions = np.concatenate([(o + at).astype(np.int32) for o, at in zip(orders, offsets)])
     if len(shards) == 1:
         return positions
     for stride in STRIDES:
@@ -306,12 +306,12 @@ def repeats(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
     sizes = np.array([len(p) for p in parts]) + 1
     starts = np.cumsum(sizes) - sizes
     joined = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
-    symbols = joined.astype(np.int64) + 1
+    symbols = joined.astype(np.int16) + 1
     symbols[starts + sizes - 1] = 0
     cuts = np.unique(np.searchsorted(starts, np.arange(0, len(joined), max(SHARD, len(joined) // 200))))
     edges = np.r_[starts[cuts[cuts < len(starts)]], len(joined)]
     order = merged([symbols[a:b] for a, b in zip(edges, edges[1:]) if b > a], length)
-    owner = np.repeat(np.arange(len(parts)), sizes)
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
     order = order[starts[owner[order]] + sizes[owner[order]] - 1 - order >= length]
     windows = np.lib.stride_tricks.sliding_window_view(joined, length)
     equal = np.zeros(len(order), bool)  # whether the common prefix with the one before is whole
@@ -327,7 +327,7 @@ def repeats(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
     heads = np.flatnonzero(np.r_[True, np.diff(again) > 1]) if len(again) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[heads, len(again)])
     part = owner[again[heads]]
-    return part, again[heads] - starts[part], counts
+    return part, again[heads].astype(np.int64) - starts[part], counts
 
 
 def compared(found: DataFrame, length: int) -> DataFrame:
@@ -351,6 +351,7 @@ def compared(found: DataFrame, length: int) -> DataFrame:
             yield pa.Table.from_batches(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("bundles", object)  # an earlier operator's memory in this worker goes
         for bundle in bundles(batches):
             anchor = bundle.column("anchor").to_numpy()
             shared = in_company(bundle.column("data").to_pylist(), anchor, length)
@@ -408,6 +409,7 @@ def cut(docs: DataFrame, length: int = LENGTH, keep: tuple[str, ...] = ("doc_id"
     runs = written(covered_runs(docs, length), "covered")
     lists = runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     keep = list(keep)
+    free(docs.select(*keep), "data", "n_bytes", "runs", "removed", "kept", "text")
     joined = packed(_as_bytes(docs.select(*keep, "text")), keep).join(lists, "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

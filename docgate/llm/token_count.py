@@ -6,14 +6,13 @@ the tokenizer drops it, neither its normaliser nor its word pattern reaches acro
 special strings hold none. Words repeat a lot, so each task keeps the lengths of those it has met.
 
 Null texts are empty; a text without words has no tokens. Rows and other columns are kept as they
-are, repeated rows too; the appended columns must not exist yet.
+are, repeated rows too; columns named like the appended ones are an error.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from docgate.llm.common import WORD, by_bytes, texts_of, unseen
+from docgate.llm.common import WORD, by_bytes, free, kept, texts_of, unseen
 
 CACHED_WORDS = 400_000
 PIECE_CHARS = 1 << 20
@@ -75,25 +74,21 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-@lru_cache(maxsize=4)
-def counter(path: str) -> Counter:
-    return Counter(path)
-
-
 def count_tokens(
     docs: DataFrame, path: str, text: str = "text", n_bytes: str = "n_bytes", n_tokens: str = "n_tokens"
 ) -> DataFrame:
     """Append UTF-8 bytes and tokens of a text column, and drop the texts themselves."""
-    kept = [f for f in docs.schema.fields if f.name != text]
+    others = [f for f in docs.schema.fields if f.name != text]
+    free(docs.drop(text), n_bytes, n_tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, text):
             sizes = pc.binary_length(batch.column(text)).fill_null(0).cast(pa.int64())
-            counts = pa.array(counter(path).count(texts_of(batch, text)), pa.int64())
-            columns = [batch.column(f.name) for f in kept]
+            counts = pa.array(kept(("counts", path), lambda: Counter(path)).count(texts_of(batch, text)), pa.int64())
+            columns = [batch.column(f.name) for f in others]
             yield pa.RecordBatch.from_arrays(
-                [*columns, sizes, counts], [*(f.name for f in kept), n_bytes, n_tokens]
+                [*columns, sizes, counts], [*(f.name for f in others), n_bytes, n_tokens]
             )
 
     added = [T.StructField(name, T.LongType()) for name in (n_bytes, n_tokens)]
-    return docs.mapInArrow(run, T.StructType([*kept, *added]))
+    return docs.mapInArrow(run, T.StructType([*others, *added]))
