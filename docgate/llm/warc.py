@@ -1,7 +1,8 @@
 """Deterministic sharded WARC writer, and its reader.
 
 Records are sorted by page over ranges; each range is a shard, written by one task as a row of
-gzip-compressed files. Every record is a gzip member of its own, with headers made anew from the
+gzip-compressed files. Ranges follow from exact counts of rows per range of ids, so the same rows give
+the same files whatever the partitions of the input or of the cluster. Every record is a gzip member of its own, with headers made anew from the
 record: type, length, digests, and an id that follows from page and payload. A file is closed once
 its compressed size reaches ``roll_bytes``. It is written under a temporary name that only this
 attempt uses and renamed when complete; the names of complete files are a manifest table, and only
@@ -26,8 +27,11 @@ import io
 import re
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 from urllib.parse import quote
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
@@ -38,6 +42,8 @@ from docgate.llm.common import written
 
 ROLL_BYTES = 64 << 20
 READ_BYTES = 256 << 20  # archives that one task reads
+SHARDS = 8192  # about the most shards; bounds how much of the ranges the driver sees
+SHARD_ROWS = 2048  # rows of a shard at least, where there are fewer
 SALTS = 16
 DATE = "2024-01-01T00:00:00Z"
 LINE_END = b"\r\n"
@@ -84,6 +90,66 @@ def targets(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
     return keys.join(frequent, ["sha", "salt"]).select("page_id", "sha", "response_id")
 
 
+class Ranges(NamedTuple):
+    """First ids of ranges in order (the range before them is that of null ids), for each the number
+    of its first shard, and how many shards it is cut into by hash: more than one where a single id
+    has more rows than a shard."""
+
+    firsts: np.ndarray
+    shards: np.ndarray
+    parts: np.ndarray
+
+
+def ranges(rows: DataFrame) -> Ranges:
+    """Cells of equal width are counted; those with more rows than a shard are cut in sixteen and
+    counted again until they hold one id. Neighbours are put together up to a shard's rows. The
+    driver sees numbers of cells, bounded by multiples of ``SHARDS``."""
+    lowest, highest, total, nulls = rows.agg(
+        F.min("page_id"), F.max("page_id"), F.count("*"), F.count_if(F.col("page_id").isNull())
+    ).first()
+    target = max(SHARD_ROWS, -(-total // SHARDS))
+    shift = 0
+    while lowest is not None and (highest >> shift) - (lowest >> shift) > 2 * SHARDS:
+        shift += 4
+    cells: list[tuple[int, int]] = []  # first id, rows
+    ids = rows.where("page_id IS NOT NULL").select("page_id")
+    while lowest is not None:
+        cell = F.shiftright("page_id", shift).alias("cell")
+        counts = [tuple(r) for r in ids.groupBy(cell).count().collect()]
+        heavy = [c for c, n in counts if n > target and shift]
+        cells += [(c << shift, n) for c, n in counts if n <= target or not shift]
+        if not heavy:
+            break
+        chosen = ids.sparkSession.createDataFrame([(c,) for c in heavy], "cell bigint")
+        ids = ids.withColumn("cell", cell).join(F.broadcast(chosen), "cell").select("page_id")
+        shift -= 4
+    firsts, parts, held = [], [max(1, -(-nulls // target))], target
+    for first, n in sorted(cells):
+        if held + n > target:
+            firsts.append(first)
+            parts.append(max(1, -(-n // target)))
+            held = 0
+        held += n
+    shards = np.cumsum([0, *parts])[:-1]
+    return Ranges(np.array(firsts, np.int64), shards, np.array(parts, np.int64))
+
+
+def shard_of(found: Ranges) -> Column:
+    """The shard of a row with page_id and sha."""
+
+    @F.pandas_udf("long")
+    def shard(page_id: pd.Series, start: pd.Series) -> pd.Series:
+        place = np.zeros(len(page_id), np.int64)
+        known = page_id.notna().to_numpy()
+        ids = page_id[known].astype("int64").to_numpy()
+        place[known] = np.searchsorted(found.firsts, ids, side="right")
+        return pd.Series(found.shards[place] + (start.to_numpy() * found.parts[place] >> 32))
+
+    # As text, since pandas would turn ids beside nulls into doubles.
+    start = F.conv(F.hex(F.substring("sha", 1, 4)), 16, 10).cast("long")
+    return shard(F.col("page_id").cast("string"), start)
+
+
 def headers(fields: dict[str, str]) -> bytes:
     lines = [b"WARC/1.1", *(f"{k}: {v}".encode() for k, v in fields.items())]
     return LINE_END.join(lines) + LINE_END * 2
@@ -159,23 +225,29 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, least_byt
         "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
         "sha", "response_id",
     )
+    found = ranges(pages.select(F.col("page_id").cast("long").alias("page_id")))
     sorted_rows = (
         rows.withColumn("response_id", F.lit(None).cast("long"))
         .unionByName(known)
-        .repartitionByRange("page_id", "sha")
-        .sortWithinPartitions("page_id", "sha", F.col("payload").isNotNull(), "url")
+        .withColumn("shard", shard_of(found))
+        .repartition("shard")
+        .sortWithinPartitions("shard", "page_id", "sha", F.col("payload").isNotNull(), "url")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        roll = Roll(folder, context.partitionId(), context.taskAttemptId(), roll_bytes)
+        attempt = TaskContext.get().taskAttemptId()
+        roll = None
         current, target, responded = None, None, False
         for batch in batches:
             for row in range(batch.num_rows):
-                page_id, url, payload, sha, response_id = (
+                page_id, url, payload, sha, response_id, shard = (
                     batch.column(name)[row].as_py()
-                    for name in ("page_id", "url", "payload", "sha", "response_id")
+                    for name in ("page_id", "url", "payload", "sha", "response_id", "shard")
                 )
+                if roll is None or roll.shard != shard:
+                    if roll is not None and (done := roll.close()):
+                        yield pa.RecordBatch.from_pylist([done])
+                    roll = Roll(folder, shard, attempt, roll_bytes)
                 if payload is None:
                     current, target, responded = (page_id, sha), response_id, False
                     continue
@@ -185,8 +257,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, least_byt
                 done = roll.add(record(page_id, url, payload, refers_to))
                 if done:
                     yield pa.RecordBatch.from_pylist([done])
-        done = roll.close()
-        if done:
+        if roll is not None and (done := roll.close()):
             yield pa.RecordBatch.from_pylist([done])
 
     return written(sorted_rows.mapInArrow(run, MANIFEST), "warc-manifest")
