@@ -14,8 +14,8 @@ remain outside this member's component then meet every block, each of them by it
 member is passed over only if nothing that it meets is outside the first one's component.
 
 Documents without words have an empty set and are linked with nothing; null texts are empty. Equal
-rows are of one class. Rows that share an id are one document for linking. Other columns are not
-used.
+rows are of one class. Rows that share an id are one document for linking: classes that hold one id
+are linked; a row without words stays alone under its id. Other columns are not used.
 """
 
 from __future__ import annotations
@@ -278,6 +278,22 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFra
     return links.union(more)
 
 
+def shared_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between ids that stand in rows of several classes and the classes' ids. Only ids and
+    keys are exchanged, combined before the shuffle."""
+    keyed = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "set_key")
+    several = (
+        keyed.groupBy("doc_id")
+        .agg(F.min("set_key").alias("least"), F.max("set_key").alias("most"))
+        .where("least <> most")
+        .select("doc_id")
+    )
+    held = keyed.join(several, "doc_id").distinct()
+    return held.join(classes.select("set_key", F.col("doc_id").alias("b")), "set_key").select(
+        F.col("doc_id").alias("a"), "b"
+    )
+
+
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable), kept (it is one's own)."""
     rows = written(signed(docs, s), "signed")
@@ -288,7 +304,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         ),
         "classes",
     )
-    reached = components(confirmed_links(docs, classes.drop("set_key"), s))
+    links = confirmed_links(docs, classes.drop("set_key"), s)
+    reached = components(links.union(shared_ids(rows, classes)))
     labels = classes.join(reached.toDF("doc_id", "reached"), "doc_id", "left").select(
         "set_key", F.coalesce("reached", "doc_id").alias("reached")
     )
