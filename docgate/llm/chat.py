@@ -1,15 +1,17 @@
 """Chat formatting in budgeted windows.
 
 The turns of a conversation are put in order by ``turn`` (then role and text, for repeated rows),
-and prefix sums of their tokens choose the windows: a turn belongs to window ``floor(tokens before
-it / step)``, so windows end at turns, and none holds more new text than a step and one turn. Every
-window after the first starts with the conversation's system turn (its first turn, if its role is
-system) and with up to ``history`` turns before it. These repeated turns are outside the loss mask;
-every assistant turn is inside it exactly once, in the window it belongs to.
+and prefix sums of their tokens choose the windows. Room is the budget less the tokens of the system
+turn (the first turn, if its role is system). Turns that lie between two multiples of three quarters
+of the room form a window, a turn across a multiple is one by itself, and goes into the window after
+it if both fit into the room. Every window after the first starts with the system turn and with up
+to ``history`` turns before it, as many as still fit. So no window passes the budget, unless one turn
+with the system turn does; that turn then stands alone with the system turn. Repeated turns are
+outside the loss mask; every assistant turn is inside it exactly once, in the window it belongs to.
 
 Prefix sums are taken over ranges of the sorted rows with a carry from range to range, so a
-conversation of any length is spread over tasks. A window is put together in one task; its size is
-bounded by the step, the history and the longest turn.
+conversation of any length is spread over tasks; its system turn is looked up under several salts. A
+window is put together in one task; its size is bounded by the budget and the longest turn.
 
 Template: ``<s>[INST]role[/INST]text</s>`` for each turn. A control string inside a role or text
 gets one more backslash after its first character, which is taken away again on reading.
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 
 from docgate.llm.common import WORD, written
 
-STEP = 512
+BUDGET = 1024
+SALTS = 16
 HISTORY = 2
 NO_ID = -(2**63)
 
@@ -51,7 +54,8 @@ def unescape(text: str) -> str:
 
 
 def ordered(turns: DataFrame, tokens: Column) -> DataFrame:
-    """Turns with their position in the conversation and the tokens before them."""
+    """Turns with their position in the conversation, their tokens, those before them, and those of
+    the conversation's system turn (0 if it has none)."""
     key = F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_ID)).alias("conv_id")
     rows = turns.select(
         key, F.col("turn").cast("long").alias("turn"),
@@ -61,8 +65,13 @@ def ordered(turns: DataFrame, tokens: Column) -> DataFrame:
         "conv_id", "turn", F.xxhash64("role", "text")
     )
     ranges = written(ranges.withColumn("range", F.spark_partition_id()), "turns")
+    rank = F.struct("turn", F.xxhash64("role", "text"), "role", "text")
     sums = ranges.groupBy("conv_id", "range").agg(
-        F.count("*").alias("n"), F.sum("tokens").alias("sum"), F.min("turn").alias("least")
+        F.count("*").alias("n"), F.sum("tokens").alias("sum"),
+        F.min_by(F.struct("role", "tokens"), rank).alias("first"),
+    )
+    head = F.first("first").over(
+        Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
     )
     before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(
         Window.unboundedPreceding, -1
@@ -71,6 +80,7 @@ def ordered(turns: DataFrame, tokens: Column) -> DataFrame:
         "conv_id", "range",
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
         F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("sum_before"),
+        F.when(head["role"] == "system", head["tokens"]).otherwise(0).alias("system_tokens"),
     )
     inside = Window.partitionBy("conv_id", "range").orderBy(
         F.col("turn").asc_nulls_first(), F.xxhash64("role", "text"), "role", "text"
@@ -82,54 +92,82 @@ def ordered(turns: DataFrame, tokens: Column) -> DataFrame:
         F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("own_sum"),
     )
     return placed.join(carried, ["conv_id", "range"]).select(
-        "conv_id", "role", "text",
+        "conv_id", "role", "text", "tokens", "system_tokens",
         (F.col("own_n") + F.col("n_before")).alias("place"),
         (F.col("own_sum") + F.col("sum_before")).alias("tokens_before"),
     )
 
 
+def in_windows(placed: DataFrame, budget: int) -> DataFrame:
+    """Turns with the window they belong to: twice the number of a cell of three quarters of the room,
+    and one more for a turn that reaches across the cell's end."""
+    room = F.greatest(F.lit(1).cast("long"), F.lit(budget) - F.col("system_tokens"))
+    cell = F.greatest(F.lit(1).cast("long"), F.floor(room * 3 / 4))
+    is_system = (F.col("place") == 0) & (F.col("role") == "system")
+    tokens = F.when(is_system, 0).otherwise(F.col("tokens"))
+    start = F.when(is_system, 0).otherwise(F.col("tokens_before") - F.col("system_tokens"))
+    last = F.greatest(start, start + tokens - 1)
+    crosses = (F.floor(start / cell) != F.floor(last / cell)).cast("long")
+    dealt = written(
+        placed.withColumns({"room": room, "own": tokens, "window": 2 * F.floor(start / cell) + crosses}),
+        "dealt",
+    )
+    sums = dealt.groupBy("conv_id", "window").agg(
+        F.sum("own").alias("sum"), F.first("room").alias("room")
+    )
+    crossing = sums.where("window % 2 = 1").withColumn("next", F.col("window") + 1)
+    after = sums.select("conv_id", F.col("window").alias("next"), F.col("sum").alias("more"))
+    moved = crossing.join(after, ["conv_id", "next"]).where("sum + more <= room")
+    return dealt.join(moved.select("conv_id", "window", "next"), ["conv_id", "window"], "left").withColumn(
+        "window", F.coalesce("next", "window")
+    ).drop("next")
+
+
 def format_windows(
-    turns: DataFrame, step: int = STEP, history: int = HISTORY, tokens: Column | None = None
+    turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Column | None = None
 ) -> DataFrame:
-    """One row per window: conv_id, window, formatted, n_repeated (turns at its start that stand
-    in earlier windows), loss (spans of code points whose tokens are learned)."""
+    """One row per window: conv_id, window (rising, with gaps), formatted, n_tokens (as counted by
+    ``tokens``, words and one more for each turn by default; repeated turns included), n_turns,
+    n_repeated (turns at its start that stand in earlier windows), loss (spans of code points whose
+    tokens are learned)."""
     if tokens is None:
         tokens = F.regexp_count("text", F.lit(WORD)) + 1
-    placed = written(
-        ordered(turns, tokens).withColumn("window", F.floor(F.col("tokens_before") / step)), "placed"
-    )
-    starts = placed.groupBy("conv_id", "window").agg(F.min("place").alias("first"))
-    own = placed.select("conv_id", "window", "place", "role", "text", F.lit(True).alias("own"))
-    wanted = starts.where("window > 0").select(
-        "conv_id", F.col("window").alias("into"),
-        F.explode(
-            F.array_distinct(
-                F.concat(
-                    F.array(F.lit(0).cast("long")),
-                    F.sequence(F.greatest(F.lit(0), F.col("first") - history), F.col("first") - 1),
-                )
-            )
-            if history
-            else F.array(F.lit(0).cast("long"))
-        ).alias("place"),
-        F.greatest(F.lit(0), F.col("first") - history).alias("from_place"),
-    )
-    repeated = placed.join(wanted, ["conv_id", "place"]).where(
-        (F.col("place") >= F.col("from_place")) & F.lit(history > 0) | (F.col("role") == "system")
-    )
-    every = own.unionByName(
-        repeated.select(
-            "conv_id", F.col("into").alias("window"), "place", "role", "text",
-            F.lit(False).alias("own"),
+    placed = written(in_windows(ordered(turns, tokens), budget), "placed")
+    columns = ["conv_id", "window", "place", "role", "text", "tokens"]
+    later = (
+        placed.groupBy("conv_id", "window")
+        .agg(
+            F.min("place").alias("first"), F.min("tokens_before").alias("before"),
+            F.sum("own").alias("sum"), F.first("room").alias("room"),
         )
+        .where("first > 0")
+        .withColumnRenamed("window", "into")
+    )
+    # The system turn stands first, so it is no part of the history.
+    is_system = (F.col("place") == 0) & (F.col("role") == "system")
+    systems = placed.where(is_system).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     )
+    salted = later.withColumn("salt", F.pmod(F.xxhash64("into"), F.lit(SALTS).cast("long")))
+    repeated = [systems.join(salted.select("conv_id", "salt", "into"), ["conv_id", "salt"])]
+    if history:
+        nearest = later.withColumn(
+            "place", F.explode(F.sequence(F.greatest(F.lit(0), F.col("first") - history), F.col("first") - 1))
+        ).select("conv_id", "place", "into", "before", "sum", F.col("room").alias("into_room"))
+        fits = F.col("before") - F.col("tokens_before") + F.col("sum") <= F.col("into_room")
+        repeated.append(placed.where(~is_system).join(nearest, ["conv_id", "place"]).where(fits))
+    every = placed.select(*columns, F.lit(True).alias("own"))
+    for rows in repeated:
+        rows = rows.drop("window").withColumnRenamed("into", "window")
+        every = every.unionByName(rows.select(*columns, F.lit(False).alias("own")))
     head = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MIDDLE))
     parts = every.select(
-        "conv_id", "window", "place", "own", head.alias("head"), escape(F.col("text")).alias("body"),
+        "conv_id", "window", "place", "own", "tokens", head.alias("head"), escape(F.col("text")).alias("body"),
         (F.col("own") & (F.col("role") == "assistant")).alias("learned"),
     )
     grouped = parts.groupBy("conv_id", "window").agg(
-        F.sort_array(F.collect_list(F.struct("place", "own", "head", "body", "learned"))).alias("p")
+        F.sort_array(F.collect_list(F.struct("place", "own", "head", "body", "learned"))).alias("p"),
+        F.sum("tokens").alias("n_tokens"),
     )
     piece = lambda p: F.concat(p["head"], p["body"], F.lit(CLOSE))
     # Start of every turn: the code points of those before it.
@@ -163,6 +201,8 @@ def format_windows(
         F.nullif("conv_id", F.lit(NO_ID)).alias("conv_id"),
         "window",
         F.array_join(F.transform("p", piece), "").alias("formatted"),
+        "n_tokens",
+        F.size("p").alias("n_turns"),
         F.size(F.filter("p", lambda p: ~p["own"])).alias("n_repeated"),
         walked["spans"].alias("loss"),
     )

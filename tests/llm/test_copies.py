@@ -242,3 +242,13 @@ def test_pairs_at_the_similarity_itself_are_found():
     other = embedding_dedup.buckets(0.98 * a + np.sqrt(1 - 0.98**2) * e, salt, settings)
     met = (one[:, :, :1] == other).any(axis=2) | (one == other[:, :, :1]).any(axis=2)
     assert (1 - met.mean()) ** settings.tables < 1e-6
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    text = {k: " ".join(f"{k}{n}" for n in range(12)) for k in "abcd"}
+    rows = [(3, "a"), (5, "a"), (5, "b"), (7, "b"), (8, "c"), (9, "c"), (9, "d"), (9, None), (6, "d"), (11, None)]
+    docs = spark.createDataFrame([(i, text.get(k)) for i, k in rows], "doc_id bigint, text string")
+    found = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in superminhash.near_duplicates(docs).collect()}
+    assert [found[i, True] for i in (3, 5, 7)] == [3, 3, 3]
+    assert [found[i, True] for i in (6, 8, 9)] == [6, 6, 6]
+    assert found[9, False] == 9 and found[11, False] == 11

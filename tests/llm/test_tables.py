@@ -54,6 +54,26 @@ def test_warc_is_deterministic_and_empty_tables_work(spark):
     assert warc.read(warc.write(pages.limit(0), folder), folder).count() == 0
 
 
+def test_warc_files_do_not_depend_on_partitions(spark):
+    ids = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(77)).when(F.col("id") % 1000 == 1, F.lit(None))
+        .when(F.col("id") == 2, F.lit(2**63 - 1)).when(F.col("id") == 4, F.lit(-(2**63)))
+        .otherwise(F.col("id") * 1000).alias("page_id"),
+        F.lit("u").alias("url"), F.concat(F.lit("p"), F.col("id") % 9000).alias("html"),
+    )
+    folders = [common.scratch(spark, "warc-test") for _ in range(2)]
+    manifests = [
+        warc.write(pages, folder, roll_bytes=100_000)
+        for pages, folder in zip((ids, ids.orderBy(F.rand(3)).repartition(7)), folders)
+    ]
+    files = [sorted(map(tuple, m.collect())) for m in manifests]
+    assert files[0] == files[1] and sum(f[1] for f in files[0]) == 20_000
+    found = warc.ranges(ids)
+    assert len(found.shards) == len(found.firsts) + 1 and (found.parts > 1).any()
+    read = warc.read(manifests[0], folders[0], ("page_id",))
+    assert read.where("page_id = 77").count() == ids.where("page_id = 77").count()
+
+
 def test_damage_is_noticed():
     data = warc.record(1, "u", b"payload", None).replace(b"payload\r\n", b"pay1oad\r\n")
     import io

@@ -6,12 +6,13 @@ import re
 from array import array
 from zlib import crc32
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docgate.llm import bpe, chat, line_quality, subword_classifier, token_count
+from docgate.llm import bpe, chat, line_quality, mixing, subword_classifier, suffix_dedup, token_count
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -113,10 +114,10 @@ def plain_chat(rows):
     return found
 
 
-@pytest.mark.parametrize("step, history", [(512, 2), (60, 3), (1, 0)])
-def test_windows_read_back(spark, step, history):
+@pytest.mark.parametrize("budget, history", [(512, 2), (60, 3), (1, 0)])
+def test_windows_read_back(spark, budget, history):
     turns = turns_of(spark)
-    windows = chat.format_windows(turns, step, history)
+    windows = chat.format_windows(turns, budget, history)
     read = {r["conv_id"]: r for r in chat.read_back(windows).collect()}
     plain = plain_chat(turns.collect())
     assert read.keys() == plain.keys()
@@ -134,6 +135,71 @@ def test_windows_read_back(spark, step, history):
         assert w["n_repeated"] <= history + 1
 
 
+def test_no_window_passes_its_budget(spark):
+    rows = [(1, 0, "system", "s " * 40)]
+    rows += [(1, n, ("user", "assistant")[n % 2], "w " * (7 * n % 60)) for n in range(1, 120)]
+    rows += [(1, 120, "user", "w " * 500), (1, 121, "assistant", "w")]
+    rows += [(2, n, ("user", "assistant")[n % 2], "w " * 49) for n in range(50)]
+    rows += [(3, 0, "system", "s " * 300), (3, 1, "user", "w"), (3, 2, "assistant", "w " * 9)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    found = chat.format_windows(turns, 200, 2).collect()
+    size = lambda turns: sum(len(text.split()) + 1 for _, text in turns)
+    texts = {}
+    for w in sorted(found, key=lambda w: (w["conv_id"], w["window"])):
+        own = chat._TURN.findall(w["formatted"])
+        assert size(own) == w["n_tokens"] and len(own) == w["n_turns"]
+        system = own[0][0] == "system"
+        assert system == (w["conv_id"] != 2)
+        if w["n_tokens"] > 200:
+            assert len(own) - system <= 1
+        texts.setdefault(w["conv_id"], []).extend(own[w["n_repeated"] :])
+    for conv, own in texts.items():
+        assert own == [(role, text) for c, _, role, text in rows if c == conv]
+    # Neighbouring windows could not all be put together: less than twice as many as there must be.
+    assert sum(w["conv_id"] == 2 for w in found) <= 2 * -(-50 * 50 // 200)
+    assert max(w["n_repeated"] for w in found) == 3
+    assert chat.format_windows(turns.limit(0)).count() == 0
+
+
+def test_columns_that_clash_are_errors(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words = public_tokenizers.path("word_bpe_49k.json")
+    model = (np.zeros(subword_classifier.Settings().buckets), 0.0)
+    extra = lambda name: docs.withColumn(name, F.lit(1))
+    for call in (
+        lambda: bpe.encode(extra("IDS"), path),
+        lambda: token_count.count_tokens(extra("n_tokens"), words),
+        lambda: line_quality.clean_lines(extra("kept")),
+        lambda: subword_classifier.score(extra("score"), model),
+        lambda: suffix_dedup.cut(extra("kept"), keep=("doc_id", "kept")),
+        lambda: mixing.placed(extra("_copy")),
+    ):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_labels_outside_the_classes_are_not_used(spark):
+    rows = [(n, f"word {n % 2}", n % 2) for n in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    odd = docs.select(F.col("doc_id"), F.lit(2).alias("quality")).union(
+        docs.select("doc_id", F.lit(-1).alias("quality"))
+    )
+    plain, constant = subword_classifier.fit(docs, docs.select("doc_id", "quality"))
+    both, same = subword_classifier.fit(docs, docs.select("doc_id", "quality").union(odd))
+    assert np.array_equal(plain, both) and constant == same
+
+
+def test_kept_grams_give_the_gains_of_the_features():
+    s = subword_classifier.Settings(buckets=1 << 8)
+    gains = np.random.default_rng(0).normal(size=s.buckets).tolist()
+    known = subword_classifier._Known(gains, s)
+    for word in ("a", "ab", "é", "word", "words", "x" * 500):
+        rows = subword_classifier.features(word, s)
+        assert known.of([word])[word].imag == len(rows)
+        assert abs(known.of([word])[word].real - sum(gains[r] for r in rows)) < 1e-9
+
+
 def test_classifier_separates_a_held_out_fold(spark):
     good, bad = "the plain words of a text with sense number {}", "BUY!!! NOW$$$ CHEAP### {}"
     rows = [(n, (good if n % 3 else bad).format(n), int(n % 3 > 0)) for n in range(400)]
