@@ -13,7 +13,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,15 +31,17 @@ _QUERY_ID = "sql.streaming.queryId"
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def folder_sink(path: str) -> BatchSink:
-    """Write each batch to a folder of its query and number, replacing an earlier attempt at it.
+def query_id(spark: SparkSession) -> str:
+    """The id of the streaming query that runs this batch; its checkpoint keeps it over restarts.
+    Batches that are handled outside a stream count as one query."""
+    return spark.sparkContext.getLocalProperty(_QUERY_ID) or "none"
+
 
-    The query's id lives in its checkpoint: a restart keeps it. Batches that are handled outside
-    a stream count as one query.
-    """
+def folder_sink(path: str) -> BatchSink:
+    """Write each batch to a folder of its query and number, replacing an earlier attempt at it."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        query = df.sparkSession.sparkContext.getLocalProperty(_QUERY_ID) or "none"
+        query = query_id(df.sparkSession)
         df.write.mode("overwrite").parquet(f"{path}/query_id={query}/batch_id={batch_id}")
 
     return write
