@@ -169,12 +169,87 @@ def search_batch(
     return _ranked(hits, [*_KEY, "_id"], top_k).select("question_id", "rank", *_KEY, *carry)
 
 
-def search_ranked(
+# Any white space as a question is split at it, beyond what the pattern language takes for it.
+_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+_GRAM = 3
+
+
+def _grams(text: Column, length: int) -> Column:
+    """Distinct substrings of a length; a look-ahead at every character takes linear time."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1)))
+
+
+def _parts(text: Column, lengths: Sequence[int]) -> Column:
+    return reduce(F.concat, [_grams(text, n) for n in lengths])
+
+
+def _word_grams(words: DataFrame) -> DataFrame:
+    """``word, gram``: the grams of a word; one shorter than a gram is its own."""
+    whole = F.length("word") <= _GRAM
+    grams = F.when(whole, F.array("word")).otherwise(_grams(F.col("word"), _GRAM))
+    return words.select("word", F.explode(grams).alias("gram"))
+
+
+def _rarest_gram(chunks: DataFrame, grams: DataFrame, lengths: Sequence[int], limit: int) -> DataFrame:
+    """``word, gram``: each word with that of its grams that the fewest chunks hold."""
+    asked = grams.select("gram").distinct()
+    asked = F.broadcast(asked) if fits_broadcast(asked, limit, F.octet_length("gram")) else asked
+    held = chunks.select(F.explode(_parts(F.lower("chunk_text"), lengths)).alias("gram"))
+    counts = held.join(asked, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarity = F.struct(F.coalesce("n", F.lit(0)), "gram")
+    rarest = grams.join(counts, "gram", "left").groupBy("word").agg(F.min(rarity).alias("rarest"))
+    return rarest.select("word", F.col("rarest.gram").alias("gram"))
+
+
+def search_any_word_batch(
     chunks: DataFrame,
     questions: DataFrame,
     top_k: int = DEFAULT_TOP_K,
+    carry: tuple[str, ...] = (),
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """For every question the first ``top_k`` chunks with one of its words anywhere, also inside a
+    word. Returns ``question_id, rank, doc_id, chunk_no`` and the chunk columns named in ``carry``.
+
+    Chunks are searched for the distinct words of all questions. A word meets a chunk through one
+    gram, the rarest of its grams of three characters in the corpus, and is verified on the spot;
+    words of one or two characters are grams themselves. The first k chunks of a question are among
+    the first k of its words, so only these are brought to the questions: a word that is in every
+    chunk and every question costs k rows for each. Grams are exchanged only where the words are too
+    many to broadcast.
+    """
+    _check_top_k(top_k)
+    split = F.array_distinct(F.transform(F.split("question", _SPACE), F.lower))
+    asked = questions.select("question_id", F.explode(split).alias("word")).where("word <> ''")
+    grams = reliable(_word_grams(asked.select("word").distinct()))
+    lengths = sorted(r[0] for r in grams.select(F.length("gram")).distinct().collect())  # at most three
+    anchored = reliable(_rarest_gram(chunks, grams, lengths or [_GRAM], broadcast_limit))
+    each = chunks.select(
+        *_KEY, *carry, F.xxhash64("chunk_text").alias("_id"), F.lower("chunk_text").alias("_lowered")
+    ).withColumn("gram", F.explode(_parts(F.col("_lowered"), lengths or [_GRAM])))
+    if fits_broadcast(anchored, broadcast_limit, F.octet_length("word") + F.octet_length("gram")):
+        met = each.join(F.broadcast(anchored), "gram")
+    else:
+        met = each.join(anchored.hint("merge"), "gram")
+    order = [*_KEY, "_id"]
+    hits = met.where(F.contains("_lowered", F.col("word"))).select(
+        F.col("word").alias("question_id"), *order, *carry
+    )
+    first = _ranked(hits, order, top_k).withColumnRenamed("question_id", "word")
+    # Chunks equal in key and text are hits of their own; two words may find the same ones.
+    copies = first.groupBy("word", *order, *carry).agg(F.count("*").alias("n"))
+    found = asked.join(copies, "word").groupBy("question_id", *order, *carry).agg(F.max("n").alias("n"))
+    each_copy = found.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return _ranked(each_copy, order, top_k).select("question_id", "rank", *_KEY, *carry)
+
+
+def search_ranked(
+    chunks: DataFrame | None,
+    questions: DataFrame,
+    top_k: int = DEFAULT_TOP_K,
     stats: DataFrame | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """For every question its ``top_k`` best chunks by BM25; one common word is enough to count.
 
@@ -182,8 +257,14 @@ def search_ranked(
     their identity. Words are counted, met with the question words and added up to scores on that
     partitioning, so that no pair of chunk and question is exchanged but the first k of a task.
     With too many questions to broadcast, counted words and shares are exchanged as well.
+
+    ``counted``, if given with ``stats``, is ``counted_words`` of the same chunks, which are not read
+    then (``sources.tables.save_postings``, ``read_postings``). Stored in buckets by the chunks'
+    identity, it is not exchanged either.
     """
     _check_top_k(top_k)
+    if chunks is None and (counted is None or stats is None):
+        raise ValueError("without chunks, both counted words and statistics are needed")
     if stats is None:
         stats = reliable(corpus_stats(chunks))
     corpus = stats.where(F.col("term") == "").first()
@@ -196,7 +277,8 @@ def search_ranked(
         .select("question_id", "term", idf.alias("idf"))
     )
     small = fits_broadcast(weighted, broadcast_limit, F.octet_length("term"))
-    met = _counted_words(chunks).join(F.broadcast(weighted) if small else weighted.hint("merge"), "term")
+    words = counted_words(chunks) if counted is None else counted
+    met = words.join(F.broadcast(weighted) if small else weighted.hint("merge"), "term")
     mean_length = max(n_words, 1) / max(n_chunks, 1)
     damping = f"{BM25_K1}D * ({1 - BM25_B}D + {BM25_B}D * length / {mean_length!r}D)"
     share = F.expr(f"CAST(round(idf * tf * {BM25_K1 + 1}D / (tf + {damping}) / {_UNIT!r}D) AS BIGINT)")
@@ -209,9 +291,11 @@ def search_ranked(
     return ranked.select("question_id", "rank", *_KEY, "score")
 
 
-def _counted_words(chunks: DataFrame) -> DataFrame:
+def counted_words(chunks: DataFrame, whole: bool = False) -> DataFrame:
     """One row per word of a chunk: its count ``tf``, the chunk's ``length`` in words and
-    ``copies``, the number of chunks equal in key and text. One exchange, of whole chunks."""
+    ``copies``, the number of chunks equal in key and text. One exchange, of whole chunks.
+
+    With ``whole`` there is one more row per chunk, under the empty term, as in ``corpus_stats``."""
     identity = (*_KEY, "_id")
     unique = (
         chunks.select(*_KEY, F.xxhash64("chunk_text").alias("_id"), "chunk_text")
@@ -220,7 +304,10 @@ def _counted_words(chunks: DataFrame) -> DataFrame:
     )
     worded = unique.select(*identity, "copies", tokens(F.col("text")).alias("words"))
     each = worded.select(
-        *identity, "copies", F.size("words").alias("length"), F.explode("words").alias("term")
+        *identity,
+        "copies",
+        F.size("words").alias("length"),
+        F.explode(F.array_append("words", "") if whole else F.col("words")).alias("term"),
     )
     return each.groupBy(*identity, "copies", "length", "term").agg(F.count("*").alias("tf"))
 

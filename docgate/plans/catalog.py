@@ -15,8 +15,10 @@ from docgate.operators import evaluation, gate, prompts, routing, search
 from docgate.plans import inputs
 from docgate.session import configure, shared_dir
 from docgate.sources.messages import publish_files, read_messages, stream_messages
+from docgate.sources.tables import read_postings, save_postings
 from docgate.streaming.ingest import StreamingIngest, folder_sink
 from docgate.streaming.pull import BoundedPull
+from docgate.streaming.redelivery import Redelivery
 
 QUERY = "the and of"
 TRACE = "doc-23"  # of a message without a version, which the contract rejects
@@ -184,6 +186,19 @@ def search_ranked(spark, sf_dir):
     return search.search_ranked(inputs.chunks(spark, sf_dir), inputs.questions(spark, sf_dir))
 
 
+def search_any_word_batch(spark, sf_dir):
+    return search.search_any_word_batch(inputs.chunks(spark, sf_dir), inputs.questions(spark, sf_dir))
+
+
+def search_stored(spark, sf_dir):
+    """The postings of all chunks, stored, and every question answered from them."""
+    configure(spark)
+    name = f"postings_{uuid.uuid4().hex}"
+    save_postings(inputs.chunks(spark, sf_dir), name, spark.sparkContext.defaultParallelism, shared_dir(spark))
+    counted, stats = read_postings(spark, name)
+    return search.search_ranked(None, inputs.questions(spark, sf_dir), stats=stats, counted=counted)
+
+
 def rag_prompts(spark, sf_dir):
     asked = inputs.questions(spark, sf_dir)
     hits = search.search_batch(
@@ -233,6 +248,27 @@ def bounded_pull(spark, sf_dir):
     return pull.run(stream_messages(spark, f"{work}/inbox", files_per_batch=1), f"{work}/checkpoint")
 
 
+def _some_fail(messages):
+    """The gate, for messages that fail first: once, twice or always, as their number says."""
+    n = F.substring("message_id", 2, 20).cast("long")
+    fails = F.when(n % 27 == 13, 99).when(n % 9 == 1, 2).when(n % 9 == 4, 1).otherwise(0)
+    transient = F.when(n % 9 == 1, routing.TRANSIENT).otherwise("other")
+    kind = F.when(F.col("attempt") <= fails, transient).when(F.size("errors") > 0, routing.FUNCTIONAL)
+    return chunk_ops.resolve_fields(messages).withColumn("error_kind", kind)
+
+
+def redelivered_messages(spark, sf_dir):
+    """All messages as a stream of files; those that fail for a passing reason come again."""
+    configure(spark)
+    work = f"{shared_dir(spark)}/redelivery-{uuid.uuid4().hex}"
+    publish_files(inputs.messages(spark, sf_dir).repartitionByRange(12, "message_id"), f"{work}/inbox")
+    again = Redelivery(_some_fail, f"{work}/fates", max_attempts=3)
+    stream = stream_messages(spark, f"{work}/inbox", files_per_batch=6)
+    return again.run(stream, f"{work}/checkpoint").where("fate <> 'retry'").select(
+        "message_id", "fate", F.col("attempt").alias("attempts")
+    )
+
+
 def fresh_sources(spark, sf_dir):
     """The documents against an earlier state that lacks some and has other texts of some."""
     docs = inputs.table(spark, sf_dir, "documents")
@@ -269,12 +305,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         search_any_word,
         search_batch,
         search_ranked,
+        search_any_word_batch,
+        search_stored,
         rag_prompts,
         evaluate_answers,
         suggest_improvements,
         metric_records,
         retraining_signals,
         bounded_pull,
+        redelivered_messages,
         fresh_sources,
     )
 }

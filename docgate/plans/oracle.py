@@ -400,6 +400,33 @@ signals AS (
         "SELECT reason, source, score, "
         "json_object('reason', reason, 'source', source, 'score', score)::VARCHAR AS body FROM signals",
     ),
+    "search_any_word_batch": _with(
+        _CHUNKS,
+        _QUESTIONS,
+        r"""
+asked AS (
+  SELECT DISTINCT question_id, lower(unnest(string_split_regex(question, '\s+'))) AS word FROM questions
+),
+found AS (
+  SELECT DISTINCT word, doc_id, chunk_no
+  FROM (SELECT DISTINCT word FROM asked WHERE word <> '') JOIN chunks ON contains(lower(chunk_text), word)
+),
+first AS (
+  SELECT * FROM found
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY doc_id, chunk_no) <= 5
+),
+met AS (SELECT DISTINCT question_id, doc_id, chunk_no FROM asked JOIN first USING (word))""",
+        """
+SELECT question_id, (row_number() OVER (PARTITION BY question_id
+    ORDER BY doc_id, chunk_no))::INT AS rank, doc_id, chunk_no
+FROM met QUALIFY rank <= 5""",
+    ),
+    "redelivered_messages": _on_messages("""
+        SELECT message_id,
+          CASE WHEN n % 27 = 13 THEN 'dead' WHEN ok THEN 'accepted' ELSE 'quarantine' END AS fate,
+          CASE WHEN n % 27 = 13 OR n % 9 = 1 THEN 3 WHEN n % 9 = 4 THEN 2 ELSE 1 END AS attempts
+        FROM (SELECT m.message_id, substring(m.message_id, 2)::BIGINT AS n, a.message_id IS NOT NULL AS ok
+          FROM messages m LEFT JOIN accepted a ON m.message_id = a.message_id)"""),
     "fresh_sources": """
 WITH fresh AS (
   SELECT source, doc_id % 10 = 4 AS new, doc_id % 7 = 3 AND text IS NOT NULL AS changed FROM documents
@@ -409,3 +436,5 @@ FROM fresh WHERE new OR changed GROUP BY source""",
 }
 # The same message, whether all are searched or only as many as it takes.
 ORACLE["bounded_pull"] = ORACLE["find_by_trace"]
+# The same hits, from stored postings.
+ORACLE["search_stored"] = ORACLE["search_ranked"]

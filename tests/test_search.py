@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from docgate.operators import prompts, search
-from docgate.sources.tables import save_chunk_table
+from docgate.sources.tables import read_postings, save_chunk_table, save_postings
 from docgate.operators.chunks import chunk_counts
 from pyspark.sql import functions as F
 
@@ -123,6 +123,59 @@ def test_equal_chunks_are_hits_of_their_own(spark, limit):
     assert ranked == search.search_ranked(df, asked, 5).collect()
 
 
+def brute_any_word(corpus, asked, k):
+    found = []
+    for qid, question in asked:
+        wanted = [w.lower() for w in question.split()]
+        hits = sorted((c[0], c[1]) for c in corpus if any(w in c[2].lower() for w in wanted))
+        found += [(qid, rank, *key) for rank, key in enumerate(hits[:k], 1)]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("limit", [search.BROADCAST_LIMIT, 0])
+@pytest.mark.parametrize("k", [3, 40])
+def test_any_word_batch_equals_brute_force(spark, chunks, questions, corpus, asked, limit, k):
+    got = search.search_any_word_batch(chunks, questions, k, broadcast_limit=limit).collect()
+    assert sorted(map(tuple, got)) == brute_any_word(corpus, asked, k)
+
+
+def test_any_word_batch_takes_short_words_marks_and_any_script(spark):
+    rows = [("a", 0, "Straße é 東京都 x", "u"), ("a", 1, "100% of it_all", "u"), ("a", 1, "100% of it_all", "v"),
+            ("b", 0, "aaaa \U0001d11e\U0001d11e!", "u"), ("c", 0, "", "u"), ("d", 0, None, "u"), ("e", 0, "É", "u")]
+    texts = ["é", "京", "京都", "東京都", "0% t_a", "aaa", "\U0001d11e", "\U0001d11e\U0001d11e!", "STRASSE STRAß",
+             "zz\u3000é\u2028zz", "\xa0 \x1c", "", "it it_all 100%", "x aa of"]
+    asked = list(enumerate(texts))
+    df, questions = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(
+        [*asked, (99, None)], "question_id long, question string")
+    for k in (1, 2, 9):
+        got = search.search_any_word_batch(df, questions, k).collect()
+        assert sorted(map(tuple, got)) == brute_any_word([r for r in rows if r[2] is not None], asked, k)
+    carried = search.search_any_word_batch(df, questions, 9, ("source_url",)).where("question_id = 12").collect()
+    assert [r["source_url"] for r in sorted(carried, key=lambda r: r["source_url"])] == ["u", "v"]
+
+
+def test_any_word_batch_meets_words_not_pairs_of_questions(chunks, questions, plan):
+    found = plan(search.search_any_word_batch(chunks, questions))
+    # The first k of each word are cut before they are exchanged, and only these meet the questions.
+    assert "BroadcastHashJoin" in found and found.count("row_number(), 5, Partial") >= 3
+
+
+def test_stored_postings_answer_without_the_chunks(spark, chunks, questions, plan, tmp_path):
+    save_postings(chunks, "some_postings", 4, str(tmp_path))
+    counted, stats = read_postings(spark, "some_postings")
+    want = search.corpus_stats(chunks)
+    assert set(map(tuple, stats.collect())) == set(map(tuple, want.collect()))
+    for limit in (search.BROADCAST_LIMIT, 0):
+        got = search.search_ranked(None, questions, 7, stats, limit, counted).collect()
+        assert set(got) == set(search.search_ranked(chunks, questions, 7).collect())
+    stored = plan(search.search_ranked(None, questions, 5, stats, counted=counted))
+    # Only the two steps of the top k: no exchange of the corpus, no texts.
+    assert stored.count("Exchange hashpartitioning") == 2
+    assert "chunk_text" not in stored and "regexp_extract_all" not in stored
+    with pytest.raises(ValueError):
+        search.search_ranked(None, questions)
+
+
 def test_a_very_long_question_goes_with_short_ones(spark, chunks):
     long = " ".join(f"w{n}" for n in range(5000))
     asked = spark.createDataFrame([(1, long), (2, "hot")], "question_id long, question string")
@@ -177,6 +230,7 @@ def test_top_k_is_checked(chunks, questions, top_k):
         lambda: search.search_any_word(chunks, "hot", top_k),
         lambda: search.search_batch(chunks, questions, top_k),
         lambda: search.search_ranked(chunks, questions, top_k),
+        lambda: search.search_any_word_batch(chunks, questions, top_k),
     ):
         with pytest.raises(ValueError):
             call()
