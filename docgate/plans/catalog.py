@@ -155,10 +155,9 @@ def stream_ingest(spark, sf_dir):
     """The documents as a file stream, through gate and chunking, read back from the sink."""
     configure(spark)
     work = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    docs = (
-        spark.readStream.schema("doc_id bigint, text string, source string")
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
+    # A table is one file or a folder of them; a stream takes a single file only by a pattern.
+    docs = spark.readStream.schema("doc_id bigint, text string, source string").parquet(
+        f"{sf_dir}/documents.{{parquet}}"
     )
     ingest = StreamingIngest(folder_sink(f"{work}/chunks"), folder_sink(f"{work}/quarantine"))
     ingest.start(inputs.messages_from(docs), f"{work}/checkpoint").awaitTermination()

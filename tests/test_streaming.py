@@ -2,7 +2,7 @@ import pytest
 
 from docgate.operators import chunks as ops
 from docgate.operators import routing
-from docgate.plans import inputs
+from docgate.plans import catalog, inputs
 from docgate.sources.messages import publish_files, read_messages, stream_messages
 from docgate.streaming.ingest import StreamingIngest, folder_sink
 
@@ -95,3 +95,13 @@ def test_failing_chunk_sink_fails_the_batch_and_a_restart_delivers_it_again(spar
     ingest.start(stream, f"{tmp_path}/checkpoint").awaitTermination()
     want = ops.chunks_from_events(read_messages(spark, inbox)).count()
     assert spark.read.parquet(f"{tmp_path}/c").count() == want
+
+
+def test_the_query_streams_a_table_that_is_a_folder_of_files(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(n, f"text {n}", "web") for n in range(40)], "doc_id long, text string, source string"
+    )
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    want = ops.chunks_from_events(inputs.messages(spark, str(tmp_path)))
+    columns = ("message_id", "doc_id", "chunk_no", "chunk_text")
+    assert rows(catalog.stream_ingest(spark, str(tmp_path)), *columns) == rows(want, *columns) != []
