@@ -23,17 +23,14 @@ from pyspark.sql import functions as F
 from docgate.functions.strict_json import ROOT
 from docgate.functions.terms import terms, tokens
 from docgate.operators.gate import keep, with_syntax
+from docgate.operators.scoring import BM25_B, BM25_K1, UNIT, best
 from docgate.operators.sizing import BROADCAST_LIMIT, fits_broadcast
 from docgate.session import reliable
 
 DEFAULT_TOP_K = 5
-BM25_K1 = 1.2
-BM25_B = 0.75
 
 _KEY = ("doc_id", "chunk_no")
 _LANES = 64
-# Shares of a score are added up as whole multiples of this, so that their order is of no account.
-_UNIT = 1e-12
 
 
 def _check_top_k(top_k: int) -> None:
@@ -254,13 +251,12 @@ def search_ranked(
     """For every question its ``top_k`` best chunks by BM25; one common word is enough to count.
 
     ``stats``, if given, is ``corpus_stats`` of the same chunks. The chunks are exchanged once, by
-    their identity. Words are counted, met with the question words and added up to scores on that
-    partitioning, so that no pair of chunk and question is exchanged but the first k of a task.
-    With too many questions to broadcast, counted words and shares are exchanged as well.
+    their identity. Each is scored whole, against all question words, and a task keeps the first k of
+    every question: pairs of chunk and question are neither exchanged nor kept. With too many
+    questions to broadcast, counted words and shares are exchanged as well.
 
     ``counted``, if given with ``stats``, is ``counted_words`` of the same chunks, which are not read
-    then (``sources.tables.save_postings``, ``read_postings``). Stored in buckets by the chunks'
-    identity, it is not exchanged either.
+    then (``sources.tables.save_postings``, ``read_postings``). It is not exchanged either.
     """
     _check_top_k(top_k)
     if chunks is None and (counted is None or stats is None):
@@ -276,40 +272,57 @@ def search_ranked(
         .join(stats, "term")
         .select("question_id", "term", idf.alias("idf"))
     )
-    small = fits_broadcast(weighted, broadcast_limit, F.octet_length("term"))
-    words = counted_words(chunks) if counted is None else counted
-    met = words.join(F.broadcast(weighted) if small else weighted.hint("merge"), "term")
+    counted = counted_words(chunks) if counted is None else counted
     mean_length = max(n_words, 1) / max(n_chunks, 1)
-    damping = f"{BM25_K1}D * ({1 - BM25_B}D + {BM25_B}D * length / {mean_length!r}D)"
-    share = F.expr(f"CAST(round(idf * tf * {BM25_K1 + 1}D / (tf + {damping}) / {_UNIT!r}D) AS BIGINT)")
-    scored = met.groupBy("question_id", *_KEY, "_id", "copies").agg(
-        F.round(F.sum(share) * _UNIT, 6).alias("score")
-    )
+    if fits_broadcast(weighted, broadcast_limit, F.octet_length("term")):
+        totals = best(counted, weighted, mean_length, top_k)
+    else:
+        totals = _all_totals(counted, weighted, mean_length)
+    scored = totals.withColumn("score", F.round(F.col("total") * UNIT, 6))
     # Chunks equal in key and text were scored once and are hits of their own.
     hits = scored.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.least("copies", F.lit(top_k)).cast("int"))))
     ranked = _ranked(hits, [F.col("score").desc(), *_KEY, "_id"], top_k)
     return ranked.select("question_id", "rank", *_KEY, "score")
 
 
-def counted_words(chunks: DataFrame, whole: bool = False) -> DataFrame:
-    """One row per word of a chunk: its count ``tf``, the chunk's ``length`` in words and
-    ``copies``, the number of chunks equal in key and text. One exchange, of whole chunks.
+def _all_totals(counted: DataFrame, weighted: DataFrame, mean_length: float) -> DataFrame:
+    """What ``scoring.best`` returns, for every pair that shares a word, by a merge join."""
+    each = counted.select(
+        *_KEY, "_id", "copies", "length", F.explode(F.arrays_zip("terms", "tfs")).alias("word")
+    ).select("*", F.col("word.terms").alias("term"), F.col("word.tfs").alias("tf"))
+    met = each.join(weighted.hint("merge"), "term")
+    damping = f"{BM25_K1}D * ({1 - BM25_B}D + {BM25_B}D * length / {mean_length!r}D)"
+    share = F.expr(f"CAST(round(idf * tf * {BM25_K1 + 1}D / (tf + {damping}) / {UNIT!r}D) AS BIGINT)")
+    return met.groupBy("question_id", *_KEY, "_id", "copies").agg(F.sum(share).alias("total"))
+
 
-    With ``whole`` there is one more row per chunk, under the empty term, as in ``corpus_stats``."""
+def counted_words(chunks: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One row per chunk: its distinct words ``terms``, their counts ``tfs``, its ``length`` in words
+    and ``copies``, the number of chunks equal in key and text. One exchange, of whole chunks, to as
+    many partitions as are asked for."""
     identity = (*_KEY, "_id")
-    unique = (
-        chunks.select(*_KEY, F.xxhash64("chunk_text").alias("_id"), "chunk_text")
-        .groupBy(*identity)
-        .agg(F.first("chunk_text").alias("text"), F.count("*").alias("copies"))
+    texts = chunks.where(F.col("chunk_text").isNotNull()).select(
+        *_KEY, F.xxhash64("chunk_text").alias("_id"), "chunk_text"
     )
-    worded = unique.select(*identity, "copies", tokens(F.col("text")).alias("words"))
-    each = worded.select(
+    if partitions is not None:
+        texts = texts.repartition(partitions, *identity)
+    unique = texts.groupBy(*identity).agg(F.first("chunk_text").alias("text"), F.count("*").alias("copies"))
+    worded = unique.select(*identity, "copies", F.array_sort(tokens(F.col("text"))).alias("words"))
+    # Equal words stand side by side: a word is counted by where the next one starts.
+    starts = F.filter(
+        F.transform("words", lambda w, n: F.when((n == 0) | (w != F.get("words", n - 1)), n)),
+        lambda n: n.isNotNull(),
+    )
+    started = worded.select(*identity, "copies", "words", F.size("words").alias("length"), starts.alias("starts"))
+    return started.select(
         *identity,
         "copies",
-        F.size("words").alias("length"),
-        F.explode(F.array_append("words", "") if whole else F.col("words")).alias("term"),
+        "length",
+        F.transform("starts", lambda n: F.get("words", n)).alias("terms"),
+        F.transform(
+            "starts", lambda n, at: F.coalesce(F.get("starts", at + 1), F.col("length")) - n
+        ).alias("tfs"),
     )
-    return each.groupBy(*identity, "copies", "length", "term").agg(F.count("*").alias("tf"))
 
 
 def find_by_trace(messages: DataFrame, trace_id: str) -> DataFrame:

@@ -32,33 +32,29 @@ def save_chunk_table(chunks: DataFrame, name: str, buckets: int) -> None:
     writer.bucketBy(buckets, "doc_id").sortBy("doc_id", "chunk_no").saveAsTable(name)
 
 
-_IDENTITY = ("doc_id", "chunk_no", "_id")
-
-
 def save_postings(chunks: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
     """Counted words of the chunks as table ``name``, their statistics as ``name`` with ``_stats``.
 
-    A posting says how often a word stands in a chunk. All words of a chunk share a bucket, so that
-    scores are added up without an exchange; a bucket is sorted by word. A chunk's bucket follows from
-    key and text: neither a hot word, nor a hot document, nor a text that stands everywhere heaps up.
-    Tables lie below ``path`` if it is given, else in the warehouse.
+    A row says how often each word stands in a chunk, so scores are added up without an exchange and
+    a chunk's key is stored once. The chunks' texts are exchanged, not their words, and the rows are
+    written as they come. A chunk's bucket (a file) follows from key and text: neither a hot word, nor
+    a hot document, nor a text that stands everywhere heaps up. Tables lie below ``path`` if it is
+    given, else in the warehouse.
     """
-    def save(df: DataFrame, table: str, bucketed: bool) -> None:
+    def save(df: DataFrame, table: str) -> None:
         writer = df.write.mode("errorifexists")
-        if bucketed:
-            writer = writer.bucketBy(buckets, *_IDENTITY).sortBy("term")
         if path is not None:
             writer = writer.option("path", f"{path}/{table}")
         writer.saveAsTable(table)
 
-    postings = counted_words(chunks, whole=True).repartition(buckets, *_IDENTITY)
-    save(postings, name, True)
-    # From the postings: the texts are split into words once.
+    save(counted_words(chunks, buckets), name)
+    # From the postings: the texts are split into words once. Every chunk is counted under "".
     posted = chunks.sparkSession.table(name)
-    worded = posted.groupBy("term").agg(
+    each = posted.select("copies", "length", F.explode(F.array_append("terms", "")).alias("term"))
+    worded = each.groupBy("term").agg(
         F.sum("copies").alias("n_chunks"), F.sum(F.col("copies") * F.col("length")).alias("n_words")
     )
-    save(worded, f"{name}_stats", False)
+    save(worded, f"{name}_stats")
 
 
 def read_postings(spark: SparkSession, name: str) -> tuple[DataFrame, DataFrame]:

@@ -176,6 +176,18 @@ def test_stored_postings_answer_without_the_chunks(spark, chunks, questions, pla
         search.search_ranked(None, questions)
 
 
+def test_postings_are_stored_once_per_chunk(spark, chunks, corpus, tmp_path):
+    save_postings(chunks, "whole_postings", 3, str(tmp_path))
+    rows = read_postings(spark, "whole_postings")[0].collect()
+    # A chunk's key is not repeated with each of its words.
+    assert len(rows) == len({r[:3] for r in corpus})
+    stored = Counter((r["doc_id"], r["chunk_no"], tuple(zip(r["terms"], r["tfs"])), r["length"]) for r in rows)
+    counted = {r[:3]: Counter(words(r[2])) for r in corpus}
+    assert stored == Counter(
+        (*key[:2], tuple(sorted(bag.items())), sum(bag.values())) for key, bag in counted.items()
+    )
+
+
 def test_a_very_long_question_goes_with_short_ones(spark, chunks):
     long = " ".join(f"w{n}" for n in range(5000))
     asked = spark.createDataFrame([(1, long), (2, "hot")], "question_id long, question string")
