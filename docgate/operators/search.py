@@ -169,6 +169,8 @@ def search_batch(
 # Any white space as a question is split at it, beyond what the pattern language takes for it.
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 _GRAM = 3
+# Chunks, the first in key order, that are searched before the whole corpus is.
+_HEAD = 2048
 
 
 def _grams(text: Column, length: int) -> Column:
@@ -214,17 +216,43 @@ def search_any_word_batch(
     the first k of its words, so only these are brought to the questions: a word that is in every
     chunk and every question costs k rows for each. Grams are exchanged only where the words are too
     many to broadcast.
+
+    Frequent words are settled early: one with k hits among the first chunks in key order has its
+    first k there. The whole corpus is searched for the others, so that the hits to be ordered are
+    those of words which are rare among the first chunks.
     """
     _check_top_k(top_k)
     split = F.array_distinct(F.transform(F.split("question", _SPACE), F.lower))
     asked = questions.select("question_id", F.explode(split).alias("word")).where("word <> ''")
-    grams = reliable(_word_grams(asked.select("word").distinct()))
+    words = reliable(asked.select("word").distinct())
+    order = [*_KEY, "_id"]
+    needed = list(dict.fromkeys([*_KEY, *carry, "chunk_text"]))
+    chunks = chunks.select(*needed, F.xxhash64("chunk_text").alias("_id"))
+    head = reliable(chunks.orderBy(*order).limit(_HEAD))
+    head = head.repartition(chunks.sparkSession.sparkContext.defaultParallelism)
+    early = reliable(_first_of_words(head, words, top_k, carry, broadcast_limit))
+    settled = early.where(F.col("rank") == top_k).select("word")
+    late = _first_of_words(chunks, words.join(settled, "word", "left_anti"), top_k, carry, broadcast_limit)
+    first = early.join(settled, "word", "left_semi").unionByName(late)
+    # Chunks equal in key and text are hits of their own; two words may find the same ones.
+    copies = first.groupBy("word", *order, *carry).agg(F.count("*").alias("n"))
+    found = asked.join(copies, "word").groupBy("question_id", *order, *carry).agg(F.max("n").alias("n"))
+    each_copy = found.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return _ranked(each_copy, order, top_k).select("question_id", "rank", *_KEY, *carry)
+
+
+def _first_of_words(
+    chunks: DataFrame, words: DataFrame, top_k: int, carry: tuple[str, ...], limit: int
+) -> DataFrame:
+    """``word, rank``, the chunk's key, ``_id`` and the carried columns of the first ``top_k`` chunks
+    that hold a word."""
+    grams = reliable(_word_grams(words))
     lengths = sorted(r[0] for r in grams.select(F.length("gram")).distinct().collect())  # at most three
-    anchored = reliable(_rarest_gram(chunks, grams, lengths or [_GRAM], broadcast_limit))
-    each = chunks.select(
-        *_KEY, *carry, F.xxhash64("chunk_text").alias("_id"), F.lower("chunk_text").alias("_lowered")
-    ).withColumn("gram", F.explode(_parts(F.col("_lowered"), lengths or [_GRAM])))
-    if fits_broadcast(anchored, broadcast_limit, F.octet_length("word") + F.octet_length("gram")):
+    anchored = reliable(_rarest_gram(chunks, grams, lengths or [_GRAM], limit))
+    each = chunks.select(*_KEY, *carry, "_id", F.lower("chunk_text").alias("_lowered")).withColumn(
+        "gram", F.explode(_parts(F.col("_lowered"), lengths or [_GRAM]))
+    )
+    if fits_broadcast(anchored, limit, F.octet_length("word") + F.octet_length("gram")):
         met = each.join(F.broadcast(anchored), "gram")
     else:
         met = each.join(anchored.hint("merge"), "gram")
@@ -232,12 +260,7 @@ def search_any_word_batch(
     hits = met.where(F.contains("_lowered", F.col("word"))).select(
         F.col("word").alias("question_id"), *order, *carry
     )
-    first = _ranked(hits, order, top_k).withColumnRenamed("question_id", "word")
-    # Chunks equal in key and text are hits of their own; two words may find the same ones.
-    copies = first.groupBy("word", *order, *carry).agg(F.count("*").alias("n"))
-    found = asked.join(copies, "word").groupBy("question_id", *order, *carry).agg(F.max("n").alias("n"))
-    each_copy = found.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    return _ranked(each_copy, order, top_k).select("question_id", "rank", *_KEY, *carry)
+    return _ranked(hits, order, top_k).withColumnRenamed("question_id", "word")
 
 
 def search_ranked(

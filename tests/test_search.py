@@ -160,6 +160,25 @@ def test_any_word_batch_meets_words_not_pairs_of_questions(chunks, questions, pl
     assert "BroadcastHashJoin" in found and found.count("row_number(), 5, Partial") >= 3
 
 
+@pytest.mark.parametrize("head", [1, 5, 90])
+def test_frequent_words_are_settled_by_the_first_chunks(
+    spark, chunks, questions, corpus, asked, monkeypatch, head
+):
+    monkeypatch.setattr(search, "_HEAD", head)
+    searched = []
+    whole = search._first_of_words
+    monkeypatch.setattr(
+        search, "_first_of_words",
+        lambda chunks, words, *rest: searched.append({r[0] for r in words.collect()}) or whole(chunks, words, *rest),
+    )
+    got = search.search_any_word_batch(chunks, questions, 3).collect()
+    assert sorted(map(tuple, got)) == brute_any_word(corpus, asked, 3)
+    # The hits of a word that most chunks hold are not all put in order.
+    every, late = searched
+    assert "hot" in every and ("hot" in late) == (head < 3)
+    assert "absent" in late
+
+
 def test_stored_postings_answer_without_the_chunks(spark, chunks, questions, plan, tmp_path):
     save_postings(chunks, "some_postings", 4, str(tmp_path))
     counted, stats = read_postings(spark, "some_postings")
