@@ -289,6 +289,26 @@ def test_ranking_exchanges_chunks_once_and_no_pairs(chunks, questions, plan):
     assert ranked.count("Exchange hashpartitioning") == 3
 
 
+def test_ranking_keeps_no_pairs_of_chunk_and_question(spark, chunks, questions, plan):
+    stats = search.corpus_stats(chunks)
+    save_postings(chunks, "pairless_postings", 2)
+    stored = read_postings(spark, "pairless_postings")[0]
+    for found in (
+        search.search_ranked(chunks, questions, stats=stats),
+        search.search_ranked(None, questions, stats=stats, counted=stored),
+    ):
+        assert "Aggregate(keys=[question_id" not in plan(found)
+
+
+def test_ranking_takes_chunks_of_one_task_in_several_steps(spark, chunks, questions):
+    whole = search.search_ranked(chunks.coalesce(1), questions, 4).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert search.search_ranked(chunks.coalesce(1), questions, 4).collect() == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_counts_on_a_bucketed_table_need_no_exchange(spark, chunks, plan):
     rows = chunks.withColumn("ingested_at", F.current_timestamp()).withColumn("embedding", F.lit("{}"))
     save_chunk_table(rows, "bucketed_chunks", 4)
