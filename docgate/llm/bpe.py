@@ -12,6 +12,7 @@ both functions only append a column. A column of that name must not exist yet.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -27,11 +28,11 @@ from tokenizers import Tokenizer
 
 from docgate.llm.common import by_bytes, by_size, free, kept, texts_of, unseen
 
-CACHED_FRAGMENTS = 200_000  # in each of two generations
-CACHED_BYTES = 24 << 20  # of fragments and ids, likewise; Python's own share comes on top
+CACHED_FRAGMENTS = 100_000  # in each of two generations
+CACHED_BYTES = 12 << 20  # of fragments and ids, likewise; Python's own share comes on top
 DECODED_TOKENS = 1 << 18
 JOINED_FRAGMENTS = 256  # new fragments in one text for the tokenizer
-ENCODED_BYTES = 2 << 20  # text encoded at once: fragments and ids are small Python objects
+ENCODED_BYTES = 1 << 19  # text encoded at once: fragments and ids are small Python objects
 SPACES = b" \t\n\r\x0b\x0c"
 # The three-byte white-space characters of Unicode.
 WIDE_SPACE = rb"\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
@@ -61,6 +62,8 @@ class Codec:
     """One tokenizer file with what follows from its vocabulary."""
 
     def __init__(self, path: str):
+        # Every core has a worker of its own; threads in each of them would only hold memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()

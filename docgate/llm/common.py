@@ -73,6 +73,7 @@ def kept(key: object, make: Callable):
     that memory of one operator does not stay while the next one runs in the same worker."""
     if key not in _KEPT:
         _KEPT.clear()
+        pa.default_memory_pool().release_unused()
         _KEPT[key] = make()
     return _KEPT[key]
 

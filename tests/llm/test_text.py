@@ -239,3 +239,12 @@ def test_fragments_put_together_have_the_ids_of_whole_texts():
     whole = own.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
     assert own.encode(texts) == [array("i", e.ids).tobytes() for e in whole]
     assert sum(own.apart.fullmatch(f) is not None for f in own.known) > 1000
+
+
+def test_known_fragments_stay_few_in_a_worker():
+    codec = bpe.Codec(public_tokenizers.path("byte_bpe_50k.json"))
+    most = 0
+    for n in range(40):
+        codec.encode(["".join(f" w{n * 10_000 + i}" for i in range(10_000))])
+        most = max(most, len(codec.known) + len(codec.older))
+    assert most <= 2 * (100_000 + 10_000)
