@@ -24,13 +24,15 @@ from docgate.functions.strict_json import ROOT
 from docgate.functions.terms import terms, tokens
 from docgate.operators.gate import keep, with_syntax
 from docgate.operators.scoring import BM25_B, BM25_K1, UNIT, best
-from docgate.operators.sizing import BROADCAST_LIMIT, fits_broadcast
-from docgate.session import reliable
+from docgate.operators.sizing import BROADCAST_LIMIT, fits_broadcast, row_bytes
+from docgate.session import reliable, scratch, stored
 
 DEFAULT_TOP_K = 5
 
 _KEY = ("doc_id", "chunk_no")
 _LANES = 64
+# Parts of a table of questions that one task lays out.
+_LANE_PARTS = 256
 
 
 def _check_top_k(top_k: int) -> None:
@@ -276,7 +278,9 @@ def search_ranked(
     ``stats``, if given, is ``corpus_stats`` of the same chunks. The chunks are exchanged once, by
     their identity. Each is scored whole, against all question words, and a task keeps the first k of
     every question: pairs of chunk and question are neither exchanged nor kept. With too many
-    questions to broadcast, counted words and shares are exchanged as well.
+    questions to broadcast at once, the counted words are stored and scored once for each part of the
+    questions that can be. Only a question that takes more than half the limit by itself has its
+    counted words and shares exchanged.
 
     ``counted``, if given with ``stats``, is ``counted_words`` of the same chunks, which are not read
     then (``sources.tables.save_postings``, ``read_postings``). It is not exchanged either.
@@ -295,12 +299,27 @@ def search_ranked(
         .join(stats, "term")
         .select("question_id", "term", idf.alias("idf"))
     )
-    counted = counted_words(chunks) if counted is None else counted
+    given, counted = counted, counted_words(chunks) if counted is None else counted
     mean_length = max(n_words, 1) / max(n_chunks, 1)
     if fits_broadcast(weighted, broadcast_limit, F.octet_length("term")):
-        totals = best(counted, weighted, mean_length, top_k)
-    else:
-        totals = _all_totals(counted, weighted, mean_length)
+        return _best_ranked(best(counted, weighted, mean_length, top_k), top_k)
+    if given is None:
+        counted = stored(counted)
+    parts, long = _parted(weighted, broadcast_limit)
+    found = _best_ranked(_all_totals(counted, weighted if long is None else long, mean_length), top_k)
+    if not parts:
+        return found
+    # One part after the other, so that the words of only one are held at a time.
+    spark, answered = weighted.sparkSession, scratch(weighted.sparkSession)
+    for part in parts:
+        asked = spark.read.schema(weighted.schema).parquet(part)
+        _best_ranked(best(counted, asked, mean_length, top_k), top_k).write.mode("append").parquet(answered)
+    short = spark.read.schema(found.schema).parquet(answered)
+    return short if long is None else short.unionByName(found)
+
+
+def _best_ranked(totals: DataFrame, top_k: int) -> DataFrame:
+    """The ``top_k`` best of every question, from what ``scoring.best`` returns."""
     scored = totals.withColumn("score", F.round(F.col("total") * UNIT, 6))
     # Chunks equal in key and text were scored once and are hits of their own.
     hits = scored.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.least("copies", F.lit(top_k)).cast("int"))))
@@ -308,6 +327,35 @@ def search_ranked(
     return ranked.select("question_id", "rank", *_KEY, "score")
 
 
+def _parted(weighted: DataFrame, limit: int) -> tuple[list[str], DataFrame | None]:
+    """Whole questions in parts that can be broadcast, each stored in a folder, and what there is of
+    questions that take more than half the limit by themselves.
+
+    Questions are laid end to end, and one belongs to the part in which it starts; a part is shorter
+    than the limit by the longest of them. What is laid out by one task are sizes of questions.
+    """
+    size = F.sum(row_bytes(F.octet_length("term")))
+    sizes = reliable(weighted.groupBy(F.col("question_id").alias("_of")).agg(size.alias("bytes")))
+    fits = F.col("bytes") <= limit // 2
+    longest, total, more = sizes.agg(
+        F.max(F.when(fits, F.col("bytes"))), F.sum(F.when(fits, F.col("bytes"))), F.count_if(~fits)
+    ).first()
+    same = F.col("question_id").eqNullSafe(F.col("_of"))
+    long = weighted.join(sizes.where(~fits), same, "left_semi") if more else None
+    if not total:
+        return [], long
+    lane = F.expr(f"pmod(xxhash64(_of), {total // (_LANE_PARTS * limit) + 1})")
+    before = Window.partitionBy("lane").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("bytes").over(before), F.lit(0))
+    part = F.concat_ws("-", "lane", F.floor(start / F.lit(limit - longest)))
+    laid = reliable(sizes.where(fits).withColumn("lane", lane).select("_of", part.alias("part")))
+    folder = scratch(weighted.sparkSession)
+    each = weighted.join(laid, same).drop("_of").repartition("part")
+    each.write.partitionBy("part").parquet(folder)
+    names = sorted(r["part"] for r in laid.select("part").distinct().collect())
+    return [f"{folder}/part={name}" for name in names], long
+
+
 def _all_totals(counted: DataFrame, weighted: DataFrame, mean_length: float) -> DataFrame:
     """What ``scoring.best`` returns, for every pair that shares a word, by a merge join."""
     each = counted.select(

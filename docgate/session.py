@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,18 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder of its own, not yet made, below the shared one."""
+    return f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Compute a large, reused frame once: as files, which are smaller than a checkpoint's."""
+    folder = scratch(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use every core on an input that comes in fewer splits than there are cores.
 

@@ -309,6 +309,34 @@ def test_ranking_takes_chunks_of_one_task_in_several_steps(spark, chunks, questi
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("limit, long", [(700, True), (2000, False)])
+def test_questions_too_many_to_broadcast_are_scored_in_parts(
+    spark, chunks, asked, monkeypatch, tmp_path, limit, long
+):
+    pool = [*asked[:14], (6, "hot w3"), (None, "w1 w2 warm"), (900, " ".join(f"w{n}" for n in range(9)))]
+    questions = spark.createDataFrame(pool, "question_id long, question string")
+    want = search.search_ranked(chunks, questions, 4).collect()
+    save_postings(chunks, f"parted_postings_{limit}", 2, str(tmp_path))
+    counted, stats = read_postings(spark, f"parted_postings_{limit}")
+    pairs, parts = [], []
+    best, all_totals = search.best, search._all_totals
+    monkeypatch.setattr(search, "best", lambda *a: parts.append(a[1].collect()) or best(*a))
+    monkeypatch.setattr(search, "_all_totals", lambda *a: pairs.append(a[1]) or all_totals(*a))
+    for given in ((chunks, questions, 4, None, limit), (None, questions, 4, stats, limit, counted)):
+        parts.clear()
+        got = search.search_ranked(*given)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want))
+        # Pairs of chunk and question are exchanged for questions that are too long by themselves.
+        assert ("Aggregate(keys=[question_id" in got._jdf.queryExecution().toString()) == long
+        sizes = [sum(len(r["term"].encode()) + 64 for r in part) for part in parts]
+        assert len(parts) > 1 and max(sizes) <= limit
+        of = [{r["question_id"] for r in part} for part in parts]
+        assert sum(map(len, of)) == len(set.union(*of)) and None in set.union(*of)
+        assert (900 in set.union(*of)) != long
+        if long:
+            assert {r["question_id"] for r in pairs[-1].collect()}.isdisjoint(set.union(*of))
+
+
 def test_counts_on_a_bucketed_table_need_no_exchange(spark, chunks, plan):
     rows = chunks.withColumn("ingested_at", F.current_timestamp()).withColumn("embedding", F.lit("{}"))
     save_chunk_table(rows, "bucketed_chunks", 4)
